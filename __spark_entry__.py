@@ -226,7 +226,10 @@ def query_vector(spark, sf_dir):
 
 
 def cosine_scores(spark, sf_dir):
-    return _rounded(tl.cosine(_index(spark, sf_dir), REPEATED_QUERY))
+    docs = _docs(spark, sf_dir)
+    vocab = tl.store_vocabulary(docs)
+    index = tl.build_index(docs, vocab=vocab)
+    return _rounded(tl.cosine(index, REPEATED_QUERY, vocab=vocab.frame))
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -21,8 +21,8 @@ HOT_WORDS = 100_000
 
 
 def slice_of(key: Column, slices: Column) -> Column:
-    """Slice number of a row, spread by the hash of ``key``."""
-    return F.pmod(F.xxhash64(key), slices.cast("long"))
+    """Slice number of a row, spread by the hash of ``key``; never null."""
+    return F.coalesce(F.pmod(F.xxhash64(key), slices.cast("long")), F.lit(0).cast("long"))
 
 
 def all_slices(slices: Column) -> Column:

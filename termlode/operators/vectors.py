@@ -35,6 +35,7 @@ def doc_norms(index: DataFrame) -> DataFrame:
 def query_vector(index: DataFrame, query: str, lower_query: bool = False) -> DataFrame:
     """``(collection, word, tf, idf, weight)`` for the query words the index knows.
 
+    ``index`` may be any table with the idf of each word, such as a vocabulary.
     Unknown words have no weight but still count in the divisor of tf. Each word
     comes down to one row per task before the shuffle.
     """
@@ -53,15 +54,18 @@ def cosine(
     lower_query: bool = False,
     collection: str | None = None,
     norms: DataFrame | None = None,
+    vocab: DataFrame | None = None,
 ) -> DataFrame:
     """Cosine score of every document: ``(collection, file, score)``, unordered.
 
     A word that occurs k times in the query is added k times, so a score may pass
     1. A zero norm on either side gives NULL. Without ``norms`` one aggregation
     over the index yields dot product and norm together; with stored
-    :func:`doc_norms` only the entries of the query's words are read.
+    :func:`doc_norms` only the entries of the query's words are read. The query's
+    own norm is taken from ``vocab``, if given, instead of the index.
     """
     index = in_collection(index, collection)
+    idfs = index if vocab is None else in_collection(vocab, collection)
     words = _words(query, lower_query)
     counts = Counter(words)
     # Query weight, times the repeats of the word, as a factor of idf * tf_idf.
@@ -77,7 +81,7 @@ def cosine(
             _of_query(index, counts).groupBy("collection", "file").agg(F.sum(product).alias("dot"))
         )
         docs = in_collection(norms, collection).join(dots, ["collection", "file"], "left")
-    query_norm = query_vector(index, query, lower_query).groupBy("collection").agg(
+    query_norm = query_vector(idfs, query, lower_query).groupBy("collection").agg(
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("query_norm")
     )
     return join_collection_facts(docs, query_norm, spread_by="file", how="left").select(

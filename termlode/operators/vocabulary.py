@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +16,7 @@ def collection_sizes(docs: DataFrame) -> DataFrame:
 
 
 def doc_freq(
-    docs: DataFrame,
-    normalizer: str = "word_hyphen",
-    drop_empty: bool = False,
-    words: Sequence[str] | None = None,
+    docs: DataFrame, normalizer: str = "word_hyphen", drop_empty: bool = False
 ) -> DataFrame:
     """Number of documents that hold each word.
 
@@ -29,15 +24,19 @@ def doc_freq(
     count, and it is combined within each task before the shuffle: a word found
     in every document costs one row per task.
     """
-    held = word_array(F.col("text"), normalizer, drop_empty)
-    if words is None:
-        held = F.array_distinct(held)
-    else:
-        held = F.array_intersect(held, F.array(*map(F.lit, words)).cast("array<string>"))
-    return (
-        docs.select("collection", F.explode(held).alias("word"))
-        .groupBy("collection", "word")
-        .agg(F.count(F.lit(1)).alias("df"))
+    held = F.array_distinct(word_array(F.col("text"), normalizer, drop_empty))
+    return holders(docs.select("collection", F.explode(held).alias("word")))
+
+
+def holders(counts: DataFrame) -> DataFrame:
+    """Document frequency from rows that are unique per document and word."""
+    return counts.groupBy("collection", "word").agg(F.count(F.lit(1)).alias("df"))
+
+
+def with_idf(freqs: DataFrame, sizes: DataFrame, flipped: bool = False) -> DataFrame:
+    """Add the collection's document count and the idf to document frequencies."""
+    return join_collection_facts(freqs, sizes, spread_by="word").select(
+        "collection", "word", "df", "n_docs", idf(flipped).alias("idf")
     )
 
 
@@ -45,11 +44,7 @@ def vocabulary(
     docs: DataFrame,
     normalizer: str = "word_hyphen",
     drop_empty: bool = False,
-    words: Sequence[str] | None = None,
     flipped_idf: bool = False,
 ) -> DataFrame:
     """``(collection, word, df, n_docs, idf)`` for every word of the corpus."""
-    counted = doc_freq(docs, normalizer, drop_empty, words)
-    return join_collection_facts(counted, collection_sizes(docs), spread_by="word").select(
-        "collection", "word", "df", "n_docs", idf(flipped_idf).alias("idf")
-    )
+    return with_idf(doc_freq(docs, normalizer, drop_empty), collection_sizes(docs), flipped_idf)

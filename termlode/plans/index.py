@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from termlode.functions.weights import tf as tf_column
 from termlode.operators.skew import SLICE_ROWS, join_words, join_words_by_df
-from termlode.operators.vocabulary import vocabulary
+from termlode.operators.vocabulary import collection_sizes, holders, vocabulary, with_idf
 from termlode.operators.words import term_counts
 from termlode.sources.store import scratch_path, write_index
 
@@ -27,6 +27,14 @@ class StoredVocabulary:
     largest: int
 
 
+def _stored(frame: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back."""
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def store_vocabulary(
     docs: DataFrame,
     normalizer: str = "word_hyphen",
@@ -39,13 +47,7 @@ def store_vocabulary(
     over the text nor depends on the executors that ran it, and the planner sees
     its real size: small ones are broadcast, large ones are not.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "vocabulary")
-    vocabulary(docs, normalizer, drop_empty, flipped_idf=flipped_idf).write.parquet(path)
-    collection_type = docs.schema["collection"].dataType.simpleString()
-    stored = spark.read.schema(
-        f"collection {collection_type}, word string, df bigint, n_docs bigint, idf double"
-    ).parquet(path)
+    stored = _stored(vocabulary(docs, normalizer, drop_empty, flipped_idf), "vocabulary")
     sums = stored.agg(F.sum("df").alias("total"), F.max("df").alias("largest")).first()
     return StoredVocabulary(stored, sums["total"] or 0, sums["largest"] or 0)
 
@@ -63,16 +65,18 @@ def weighted_counts(
     """Term counts with df, document count and idf of the word on every row.
 
     The text is read twice (vocabulary, then counts) and never regrouped by
-    document; the counts are shuffled at most once, on (collection, word). With
-    ``words`` the rest is dropped inside each document before anything moves.
+    document; the counts are shuffled at most once, on (collection, word).
     ``cluster`` asks for that shuffle even where the vocabulary would fit a
-    broadcast, which puts the entries of a word together for storing.
+    broadcast, which puts the entries of a word together for storing. With
+    ``words`` all others are dropped inside each document, and what is left is
+    stored, so the text is read once.
     """
-    counts = term_counts(docs, normalizer, drop_empty, words)
     hint = "merge" if cluster else None
+    counts = term_counts(docs, normalizer, drop_empty, words)
     if words is not None:
-        few = vocabulary(docs, normalizer, drop_empty, words, flipped_idf)
-        return join_words(counts, few, FEW_WORDS_SLICES, hint)
+        found = _stored(counts, "counts")
+        few = with_idf(holders(found), collection_sizes(docs), flipped_idf)
+        return join_words(found, few, FEW_WORDS_SLICES, hint)
     if vocab is None:
         vocab = store_vocabulary(docs, normalizer, drop_empty, flipped_idf)
     return join_words_by_df(

@@ -39,10 +39,14 @@ def read_corpus(
 
 
 def corpus_from_table(table: DataFrame, collection: str, file: str, text: str) -> DataFrame:
-    """Use a table as a corpus; ``file`` must be unique within a collection."""
+    """Use a table as a corpus; ``file`` must be unique within a collection.
+
+    A document is addressed by both, as a file is by its path, so a row without
+    them is no document.
+    """
     return table.select(
         F.col(collection).alias("collection"), F.col(file).alias("file"), F.col(text).alias("text")
-    )
+    ).where(F.col("collection").isNotNull() & F.col("file").isNotNull())
 
 
 def spread(docs: DataFrame) -> DataFrame:
