@@ -29,9 +29,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _docs(spark: SparkSession, sf_dir: str, collection: str | None = None) -> DataFrame:
     table = _table(spark, sf_dir, "documents")
-    return tl.spread(tl.corpus_from_table(table, "lang", "doc_id", "text"))
+    docs = tl.corpus_from_table(table, "lang", "doc_id", "text")
+    return tl.spread(tl.in_collection(docs, collection))
 
 
 def _index(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -186,9 +187,9 @@ def query_unmatched_terms(spark, sf_dir):
     return tl.unmatched_terms(terms, tl.doc_freq(_docs(spark, sf_dir))).select("query_id", "word")
 
 
-def _search(query, **options):
+def _search(query, collection=None, **options):
     def run(spark, sf_dir):
-        return _rounded(tl.search(_query_index(spark, sf_dir, query), query, **options))
+        return _rounded(tl.search_documents(_docs(spark, sf_dir, collection), query, **options))
 
     return run
 

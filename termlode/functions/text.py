@@ -66,8 +66,11 @@ def word_array(
     under ``punct_lines`` a line end separates too and an empty line is an empty
     word. ``drop_empty`` leaves the empty words out.
     """
-    separator = "[\n ]" if normalizer == "punct_lines" else " "
-    words = F.split(clean(text, normalizer), separator)
+    if normalizer == "punct_lines":
+        cleaned = F.array_join(clean_lines(text), " ")
+    else:
+        cleaned = clean(text, normalizer)
+    words = F.split(cleaned, " ")
     return F.filter(words, lambda word: word != "") if drop_empty else words
 
 

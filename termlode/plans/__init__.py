@@ -6,6 +6,7 @@ from termlode.plans.search import (
     query_terms,
     query_words,
     search,
+    search_documents,
     unmatched_terms,
 )
 
@@ -19,6 +20,7 @@ __all__ = [
     "reject_invalid",
     "search",
     "search_batch",
+    "search_documents",
     "store_vocabulary",
     "unmatched_terms",
     "weighted_counts",

@@ -15,7 +15,7 @@ from termlode.operators.words import term_counts
 from termlode.sources.store import scratch_path, write_index
 
 # Slices of each word when only a few words are asked for.
-FEW_WORDS_SLICES = 64
+FEW_WORDS_SLICES = 256
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlode.functions.text import clean, word_counts
+from termlode.plans.index import build_index
 from termlode.sources.corpus import in_collection
 
 # Scores are ordered on this many decimals: summation order differs between plans.
@@ -113,3 +114,21 @@ def search(
         scores = scores.unionByName(null_row)
     ranked = scores.orderBy(*rank_order("collection", "file"))
     return ranked if n is None else ranked.limit(n)
+
+
+def search_documents(
+    docs: DataFrame,
+    query: str,
+    n: int | None = None,
+    collection: str | None = None,
+    compat: bool = False,
+    **options,
+) -> DataFrame:
+    """Search a corpus that has no stored index, reading its text once.
+
+    Equal to :func:`search` over the full index of the corpus; only the query's
+    words are indexed. ``options`` as in :func:`build_index`.
+    """
+    words = sorted(set(query_words(query)))
+    index = build_index(in_collection(docs, collection), words=words, **options)
+    return search(index, query, n, compat=compat)

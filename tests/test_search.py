@@ -83,8 +83,10 @@ def test_unmatched_terms(spark, index):
 
 def test_search_over_text_equals_search_over_index(real_docs, real_index):
     query = "the of hean"
-    from_text = tl.build_index(real_docs, words=tl.query_words(query))
-    assert rows(tl.search(from_text, query, 20)) == rows(tl.search(real_index, query, 20))
+    for options in ({}, {"n": 20}, {"collection": "en"}, {"compat": True}):
+        from_text = tl.search_documents(real_docs, query + " nosuchword", **options)
+        stored = tl.search(real_index, query + " nosuchword", **options)
+        assert rows(from_text) == rows(stored)
 
 
 def batch(spark):
