@@ -1,23 +1,25 @@
 """Joins and groupings that stay even when one key holds most rows.
 
-Two keys of a text index are hot by nature: a collection may hold a third of the
-corpus, and a common word occurs in nearly every document. Neither is ever used
-alone as a shuffle key here.
+Some keys of a text index are hot by nature: a collection may hold a third of the
+corpus, a common word occurs in nearly every document, a popular query is asked over
+and over. The rows of such a key are cut into slices before they are shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# One collection's rows meet its one-row facts in this many slices.
-COLLECTION_SLICES = 64
+# Rows of one collection, or of one of a few words, are met in this many slices.
+FIXED_SLICES = 64
 
-# Rows of one word beyond this number go to further slices.
+# Rows of one key beyond this number go to further slices.
 SLICE_ROWS = 1_000_000
 
-# No more than this many words can be hot, which bounds what is broadcast.
-HOT_WORDS = 100_000
+# No more than this many keys can be hot, which bounds what is broadcast.
+HOT_KEYS = 100_000
 
 
 def slice_of(key: Column, slices: Column) -> Column:
@@ -30,75 +32,77 @@ def all_slices(slices: Column) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), slices.cast("long") - 1))
 
 
-def join_collection_facts(
-    frame: DataFrame, facts: DataFrame, spread_by: str, how: str = "inner"
+def join_sliced(
+    frame: DataFrame,
+    facts: DataFrame,
+    keys: Sequence[str],
+    spread_by: str,
+    how: str = "inner",
+    slices: int = FIXED_SLICES,
+    hint: str | None = None,
 ) -> DataFrame:
-    """Attach one-row-per-collection ``facts`` to the rows of each collection.
+    """Join rows with facts that are few, but whose keys may own most of the rows.
 
-    The facts are repeated per slice and the rows carry a slice number, so a
-    single large collection is joined in many tasks. There is no broadcast hint:
-    adaptive execution turns this into a broadcast after it has measured the facts.
+    The facts are repeated per slice and the rows carry a slice number, so one hot
+    key is joined in many tasks. There is no broadcast hint: adaptive execution
+    turns this into a broadcast after it has measured the facts.
     """
-    sliced = frame.withColumn(
-        "_slice", slice_of(F.col(spread_by), F.lit(COLLECTION_SLICES))
-    )
-    repeated = facts.withColumn("_slice", all_slices(F.lit(COLLECTION_SLICES)))
-    return sliced.join(repeated, ["collection", "_slice"], how).drop("_slice")
-
-
-def join_words(
-    postings: DataFrame, words: DataFrame, slices: int, hint: str | None = None
-) -> DataFrame:
-    """Join on (collection, word) with every word cut into ``slices`` slices."""
-    sliced = postings.withColumn("_slice", slice_of(F.col("file"), F.lit(slices)))
-    repeated = words.withColumn("_slice", all_slices(F.lit(slices)))
-    return _equi_join(sliced, repeated, ["collection", "word", "_slice"], hint).drop("_slice")
+    sliced = frame.withColumn("_slice", slice_of(F.col(spread_by), F.lit(slices)))
+    repeated = facts.withColumn("_slice", all_slices(F.lit(slices)))
+    return _equi_join(sliced, repeated, [*keys, "_slice"], how, hint).drop("_slice")
 
 
-def join_words_by_df(
-    postings: DataFrame,
-    words: DataFrame,
+def join_by_frequency(
+    frame: DataFrame,
+    facts: DataFrame,
+    keys: Sequence[str],
+    spread_by: str,
+    frequency: str,
     total_rows: int,
     largest: int,
     hint: str | None = None,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Join on (collection, word), cutting each word by its document frequency.
-
-    A word is hot above ``slice_rows`` rows, or above ``total_rows / HOT_WORDS``
-    if that is more, so at most ``HOT_WORDS`` words are hot. Only a 64-bit hash
-    and a slice count per hot word are broadcast (16 bytes each); a hash shared by
-    two words gives both the same count and changes nothing else. All other words
-    keep one slice. ``total_rows`` and ``largest`` are the sum and maximum of df.
+    """Join rows with facts that are many and tell how often their key occurs.
+
+    A key is hot above ``slice_rows`` rows, or above ``total_rows / HOT_KEYS`` if
+    that is more, so at most ``HOT_KEYS`` keys are hot. Only a 64-bit hash and a
+    slice count per hot key are broadcast (16 bytes each); a hash shared by two
+    keys gives both the same count and changes nothing else. All other keys keep
+    one slice. ``total_rows`` and ``largest`` are the sum and maximum of the column
+    ``frequency`` of ``facts``.
     """
-    limit = max(slice_rows, -(-total_rows // HOT_WORDS))
+    keys = list(keys)
+    limit = max(slice_rows, -(-total_rows // HOT_KEYS))
     if largest <= limit:
-        return _equi_join(postings, words, ["collection", "word"], hint)
-    key = F.xxhash64("collection", "word").alias("_key")
+        return _equi_join(frame, facts, keys, "inner", hint)
     hot = (
-        words.where(F.col("df") > limit)
-        .groupBy(key)
-        .agg(F.ceil(F.max("df") / F.lit(limit)).alias("_slices"))
+        facts.where(F.col(frequency) > limit)
+        .groupBy(F.xxhash64(*keys).alias("_key"))
+        .agg(F.ceil(F.max(frequency) / F.lit(limit)).alias("_slices"))
     )
 
-    def with_slices(frame: DataFrame) -> DataFrame:
-        known = frame.withColumn("_key", F.xxhash64("collection", "word"))
+    def with_slices(side: DataFrame) -> DataFrame:
+        known = side.withColumn("_key", F.xxhash64(*keys))
         return known.join(F.broadcast(hot), "_key", "left").withColumn(
             "_slices", F.coalesce("_slices", F.lit(1).cast("long"))
         )
 
-    sliced = with_slices(postings).withColumn("_slice", slice_of(F.col("file"), F.col("_slices")))
-    repeated = with_slices(words).withColumn("_slice", all_slices(F.col("_slices")))
+    sliced = with_slices(frame).withColumn("_slice", slice_of(F.col(spread_by), F.col("_slices")))
+    repeated = with_slices(facts).withColumn("_slice", all_slices(F.col("_slices")))
     return _equi_join(
         sliced.drop("_key", "_slices"),
         repeated.drop("_key", "_slices"),
-        ["collection", "word", "_slice"],
+        [*keys, "_slice"],
+        "inner",
         hint,
     ).drop("_slice")
 
 
-def _equi_join(left: DataFrame, right: DataFrame, keys: list[str], hint: str | None) -> DataFrame:
-    return left.join(right.hint(hint) if hint else right, keys)
+def _equi_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, hint: str | None
+) -> DataFrame:
+    return left.join(right.hint(hint) if hint else right, keys, how)
 
 
 def part_of(file: Column, rows: Column, part_rows: int) -> Column:

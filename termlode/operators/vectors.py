@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termlode.operators.skew import join_collection_facts
+from termlode.operators.skew import join_sliced
 from termlode.sources.corpus import in_collection
 
 
@@ -84,7 +84,7 @@ def cosine(
     query_norm = query_vector(idfs, query, lower_query).groupBy("collection").agg(
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("query_norm")
     )
-    return join_collection_facts(docs, query_norm, spread_by="file", how="left").select(
+    return join_sliced(docs, query_norm, ["collection"], spread_by="file", how="left").select(
         "collection",
         "file",
         F.try_divide(F.coalesce("dot", F.lit(0.0)), F.col("query_norm") * F.col("norm")).alias(

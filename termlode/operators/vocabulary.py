@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from termlode.functions.text import word_array
 from termlode.functions.weights import idf
-from termlode.operators.skew import join_collection_facts
+from termlode.operators.skew import join_sliced
 
 
 def collection_sizes(docs: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def holders(counts: DataFrame) -> DataFrame:
 
 def with_idf(freqs: DataFrame, sizes: DataFrame, flipped: bool = False) -> DataFrame:
     """Add the collection's document count and the idf to document frequencies."""
-    return join_collection_facts(freqs, sizes, spread_by="word").select(
+    return join_sliced(freqs, sizes, ["collection"], spread_by="word").select(
         "collection", "word", "df", "n_docs", idf(flipped).alias("idf")
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from termlode.operators.skew import SLICE_ROWS, join_by_frequency
 from termlode.plans.search import coordinated_score, rank_order
 from termlode.sources.corpus import in_collection
 
@@ -29,36 +30,61 @@ def reject_invalid(queries: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def search_batch(
-    index: DataFrame, queries: DataFrame, collection: str | None = None
+    index: DataFrame,
+    queries: DataFrame,
+    collection: str | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Top ``amount`` documents of every valid query.
+    """Top ``amount`` documents of every valid query; ``query_id`` must be unique.
 
-    Returns ``(query_id, rank, collection, file, score)``. The query side is
-    broadcast only if the planner finds it below its threshold; otherwise both
-    sides are shuffled and adaptive execution splits the words that are skewed.
-    Every task keeps only the best rows of a query before the ranking shuffle,
-    which needs the largest amount as a constant: one number is read for it.
+    Returns ``(query_id, rank, collection, file, score)``. Equal texts are scored
+    once, for the largest amount asked, and the result is handed to each of them.
+    The query side of the scoring join is broadcast only if the planner finds it
+    below its threshold; otherwise both sides are shuffled and adaptive execution
+    splits the words that are skewed. Every task keeps only the best rows of a text
+    before the ranking shuffle, which needs the largest amount as a constant.
     """
     valid, _ = reject_invalid(queries)
-    most = valid.agg(F.max("amount")).first()[0] or 0
-    words = valid.select(
-        "query_id", "amount", F.split(F.lower("text"), " ").alias("words")
+    asked = valid.select("query_id", "amount", F.lower("text").alias("text"))
+    texts = asked.groupBy("text").agg(
+        F.min("query_id").alias("text_id"),
+        F.max("amount").alias("most"),
+        F.count(F.lit(1)).alias("copies"),
     )
+    size = texts.agg(F.max("most"), F.sum("copies"), F.max("copies")).first()
+    most, total_rows, largest = (number or 0 for number in size)
+
+    words = texts.select("text_id", "most", F.split("text", " ").alias("words"))
     terms = words.select(
-        "query_id",
-        "amount",
+        "text_id",
+        "most",
         F.size("words").alias("total_words"),
         F.explode(F.array_distinct("words")).alias("word"),
     )
     scores = (
         in_collection(index, collection)
         .join(terms, "word")
-        .groupBy("query_id", "amount", "total_words", "collection", "file")
+        .groupBy("text_id", "most", "total_words", "collection", "file")
         .agg(coordinated_score(F.col("total_words")).alias("score"))
     )
-    best_first = Window.partitionBy("query_id").orderBy(*rank_order("collection", "file"))
-    return (
+    best_first = Window.partitionBy("text_id").orderBy(*rank_order("collection", "file"))
+    ranked = (
         scores.withColumn("rank", F.row_number().over(best_first))
-        .where((F.col("rank") <= most) & (F.col("rank") <= F.col("amount")))
-        .select("query_id", F.col("rank").cast("long").alias("rank"), "collection", "file", "score")
+        .where((F.col("rank") <= most) & (F.col("rank") <= F.col("most")))
+        .select("text_id", F.col("rank").cast("long").alias("rank"), "collection", "file", "score")
+    )
+    answers = ranked.join(texts.select("text_id", "text", "copies"), "text_id")
+    return (
+        join_by_frequency(
+            asked,
+            answers,
+            ["text"],
+            spread_by="query_id",
+            frequency="copies",
+            total_rows=total_rows,
+            largest=largest,
+            slice_rows=slice_rows,
+        )
+        .where(F.col("rank") <= F.col("amount"))
+        .select("query_id", "rank", "collection", "file", "score")
     )

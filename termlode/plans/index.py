@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termlode.functions.weights import tf as tf_column
-from termlode.operators.skew import SLICE_ROWS, join_words, join_words_by_df
+from termlode.operators.skew import SLICE_ROWS, join_by_frequency, join_sliced
 from termlode.operators.vocabulary import collection_sizes, holders, vocabulary, with_idf
 from termlode.operators.words import term_counts
 from termlode.sources.store import scratch_path, write_index
 
+WORD_KEY = ("collection", "word")
+
 # Slices of each word when only a few words are asked for.
 FEW_WORDS_SLICES = 256
 
@@ -76,11 +78,19 @@ def weighted_counts(
     if words is not None:
         found = _stored(counts, "counts")
         few = with_idf(holders(found), collection_sizes(docs), flipped_idf)
-        return join_words(found, few, FEW_WORDS_SLICES, hint)
+        return join_sliced(found, few, WORD_KEY, "file", slices=FEW_WORDS_SLICES, hint=hint)
     if vocab is None:
         vocab = store_vocabulary(docs, normalizer, drop_empty, flipped_idf)
-    return join_words_by_df(
-        counts, vocab.frame, vocab.total_rows, vocab.largest, hint, slice_rows
+    return join_by_frequency(
+        counts,
+        vocab.frame,
+        WORD_KEY,
+        spread_by="file",
+        frequency="df",
+        total_rows=vocab.total_rows,
+        largest=vocab.largest,
+        hint=hint,
+        slice_rows=slice_rows,
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlode.functions.text import clean, word_counts
+from termlode.operators.skew import join_sliced
 from termlode.plans.index import build_index
 from termlode.sources.corpus import in_collection
 
@@ -65,13 +66,21 @@ def query_matches(index: DataFrame, query: str, collection: str | None = None) -
     )
 
 
-def unmatched_terms(terms: DataFrame, index: DataFrame) -> DataFrame:
-    """Query terms with no entry in the index.
+def unmatched_words(terms: DataFrame, index: DataFrame) -> DataFrame:
+    """Distinct words of the query terms with no entry in the index.
 
-    The index comes down to its distinct words first, combined within each task,
-    so a common word is a single row when the two sides meet.
+    Both sides come down to distinct words first, combined within each task, so a
+    common word is a single row when they meet.
     """
-    return terms.join(index.select("word").distinct(), "word", "left_anti")
+    return terms.select("word").distinct().join(
+        index.select("word").distinct(), "word", "left_anti"
+    )
+
+
+def unmatched_terms(terms: DataFrame, index: DataFrame) -> DataFrame:
+    """Terms of a query table, ``(query_id, word, ...)``, with no entry in the index."""
+    missing = unmatched_words(terms, index)
+    return join_sliced(terms, missing, ["word"], spread_by="query_id", how="left_semi")
 
 
 def coordinated_score(total_words: Column) -> Column:
@@ -108,7 +117,7 @@ def search(
     scores = found.groupBy("collection", "file").agg(coordinated_score(total).alias("score"))
     if compat:
         terms = query_terms(query_table(index.sparkSession, query))
-        null_row = unmatched_terms(terms, found).limit(1).select(
+        null_row = unmatched_words(terms, found).limit(1).select(
             *(F.lit(None).cast(field.dataType).alias(field.name) for field in scores.schema)
         )
         scores = scores.unionByName(null_row)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import termlode as tl
 from conftest import make_docs, rows
-from termlode.operators.skew import join_words_by_df
+from termlode.operators.skew import join_by_frequency
 
 EXPECTED = sorted(
     [
@@ -97,8 +97,16 @@ def test_hot_words_in_slices_change_no_entry(real_docs, slice_rows, hint):
     vocab = tl.store_vocabulary(real_docs)
     assert vocab.largest > 20
     plain = counts.join(vocab.frame, ["collection", "word"])
-    sliced = join_words_by_df(
-        counts, vocab.frame, vocab.total_rows, vocab.largest, hint, slice_rows
+    sliced = join_by_frequency(
+        counts,
+        vocab.frame,
+        ["collection", "word"],
+        "file",
+        "df",
+        vocab.total_rows,
+        vocab.largest,
+        hint,
+        slice_rows,
     ).select(plain.columns)
     assert sliced.count() == counts.count() == vocab.total_rows
     assert sliced.exceptAll(plain).count() == 0

@@ -74,12 +74,8 @@ def test_single_query_terms_are_the_broadcast_side(spark, index, tmp_path):
 
 
 def test_hot_word_slices_broadcast_hashes_only(scan):
-    from termlode.operators.skew import join_words_by_df
-
     vocab = tl.store_vocabulary(scan)
-    frame = join_words_by_df(
-        tl.term_counts(scan), vocab.frame, vocab.total_rows, vocab.largest, "merge", 5
-    )
+    frame = tl.weighted_counts(scan, vocab=vocab, cluster=True, slice_rows=5)
     for below in plan(frame).split("BroadcastExchange")[1:]:
         assert "_slices" in below.splitlines()[1] and "word" not in below.splitlines()[1]
 

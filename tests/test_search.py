@@ -118,6 +118,16 @@ def test_batch_equals_a_loop_of_single_searches(spark, real_index):
     assert rows(tl.search_batch(real_index, batch(spark))) == sorted(expected, key=repr)
 
 
+def test_copies_of_a_query_are_answered_alike(spark, real_index):
+    queries = spark.createDataFrame(
+        [(i, "The of" if i % 3 else f"the w{i}", i % 5) for i in range(60)],
+        "query_id long, text string, amount int",
+    )
+    plain = rows(tl.search_batch(real_index, queries))
+    assert rows(tl.search_batch(real_index, queries, slice_rows=7)) == plain
+    assert len(plain) == sum(i % 5 for i in range(60))
+
+
 def test_batch_in_one_collection(spark, real_index):
     found = tl.search_batch(real_index, batch(spark), collection="en")
     assert {r.collection for r in found.collect()} == {"en"}
