@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termlode.functions.weights import tf as tf_column
@@ -54,27 +54,28 @@ def store_vocabulary(
     return StoredVocabulary(stored, sums["total"] or 0, sums["largest"] or 0)
 
 
-def weighted_counts(
+def _with_vocabulary(
     docs: DataFrame,
-    normalizer: str = "word_hyphen",
-    drop_empty: bool = False,
-    words: Sequence[str] | None = None,
-    flipped_idf: bool = False,
-    vocab: StoredVocabulary | None = None,
-    cluster: bool = False,
+    columns: Sequence[Column | str],
+    normalizer: str,
+    drop_empty: bool,
+    words: Sequence[str] | None,
+    flipped_idf: bool,
+    vocab: StoredVocabulary | None,
+    cluster: bool,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Term counts with df, document count and idf of the word on every row.
+    """Join ``columns`` of the term counts with the vocabulary.
 
     The text is read twice (vocabulary, then counts) and never regrouped by
-    document; the counts are shuffled at most once, on (collection, word).
-    ``cluster`` asks for that shuffle even where the vocabulary would fit a
-    broadcast, which puts the entries of a word together for storing. With
-    ``words`` all others are dropped inside each document, and what is left is
-    stored, so the text is read once.
+    document; the counts are shuffled at most once, on (collection, word), and
+    carry ``columns`` only. ``cluster`` asks for that shuffle even where the
+    vocabulary would fit a broadcast, which puts the entries of a word together for
+    storing. With ``words`` all others are dropped inside each document, and what
+    is left is stored, so the text is read once.
     """
     hint = "merge" if cluster else None
-    counts = term_counts(docs, normalizer, drop_empty, words)
+    counts = term_counts(docs, normalizer, drop_empty, words).select(*WORD_KEY, "file", *columns)
     if words is not None:
         found = _stored(counts, "counts")
         few = with_idf(holders(found), collection_sizes(docs), flipped_idf)
@@ -94,6 +95,30 @@ def weighted_counts(
     )
 
 
+def weighted_counts(
+    docs: DataFrame,
+    normalizer: str = "word_hyphen",
+    drop_empty: bool = False,
+    words: Sequence[str] | None = None,
+    flipped_idf: bool = False,
+    vocab: StoredVocabulary | None = None,
+    cluster: bool = False,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Term counts with df, document count and idf of the word on every row."""
+    return _with_vocabulary(
+        docs,
+        ["count", "word_count"],
+        normalizer,
+        drop_empty,
+        words,
+        flipped_idf,
+        vocab,
+        cluster,
+        slice_rows,
+    )
+
+
 def build_index(
     docs: DataFrame,
     normalizer: str = "word_hyphen",
@@ -107,13 +132,21 @@ def build_index(
     """TF-IDF index ``(collection, word, file, idf, tf_idf)`` of a corpus.
 
     ``tf`` is ``"ratio"`` (count / document length) or ``"raw"`` (count). With
-    ``words`` the result is the full index restricted to those words.
+    ``words`` the result is the full index restricted to those words. A ``vocab``
+    stored before must come from the same documents and options.
     """
-    weighted = weighted_counts(
-        docs, normalizer, drop_empty, words, flipped_idf, vocab, cluster
+    weighted = _with_vocabulary(
+        docs,
+        [tf_column(tf).alias("tf")],
+        normalizer,
+        drop_empty,
+        words,
+        flipped_idf,
+        vocab,
+        cluster,
     )
     return weighted.select(
-        "collection", "word", "file", "idf", (tf_column(tf) * F.col("idf")).alias("tf_idf")
+        "collection", "word", "file", "idf", (F.col("tf") * F.col("idf")).alias("tf_idf")
     )
 
 

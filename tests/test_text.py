@@ -54,6 +54,17 @@ def test_strip_cuts_every_white_space_character(spark):
     assert one(spark, WHITESPACE + "A" + WHITESPACE, clean(F.col("text"))) == "a"
 
 
+def test_kept_characters_are_those_of_unicode_words_and_spaces(spark):
+    """Every Latin character and the general punctuation block, one by one."""
+    characters = [chr(c) for c in [*range(1, 0x250), *range(0x2000, 0x2070)]]
+    frame = spark.createDataFrame([(f"a{c}a",) for c in characters], "text string")
+    cleaned = [r[0] for r in frame.select(clean(F.col("text"), "word_hyphen")).collect()]
+    for character, found in zip(characters, cleaned, strict=True):
+        lowered = " " if character == "\n" else character.lower()
+        kept = "".join(c for c in lowered if c.isalnum() or c.isspace() or c in "_-")
+        assert found == f"a{kept}a", hex(ord(character))
+
+
 def test_inner_tabs_do_not_split(spark):
     assert one(spark, "a\tb c", word_array(F.col("text"))) == ["a\tb", "c"]
 
