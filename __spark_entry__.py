@@ -29,10 +29,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tl.corpus_from_table(_table(spark, sf_dir, "documents"), "lang", "doc_id", "text")
+
+
 def _docs(spark: SparkSession, sf_dir: str, collection: str | None = None) -> DataFrame:
-    table = _table(spark, sf_dir, "documents")
-    docs = tl.corpus_from_table(table, "lang", "doc_id", "text")
-    return tl.spread(tl.in_collection(docs, collection))
+    return tl.spread(tl.in_collection(_corpus(spark, sf_dir), collection))
 
 
 def _index(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -76,12 +78,11 @@ def _map_text(column: str) -> F.Column:
 
 
 def corpus_documents(spark, sf_dir):
-    return _docs(spark, sf_dir)
+    return _corpus(spark, sf_dir)
 
 
 def collection_sizes(spark, sf_dir):
-    table = _table(spark, sf_dir, "documents")
-    return tl.collection_sizes(tl.corpus_from_table(table, "lang", "doc_id", "text"))
+    return tl.collection_sizes(_corpus(spark, sf_dir))
 
 
 def doc_key_prefix_strip(spark, sf_dir):

@@ -71,7 +71,7 @@ def word_array(
     else:
         cleaned = clean(text, normalizer)
     words = F.split(cleaned, " ")
-    return F.filter(words, lambda word: word != "") if drop_empty else words
+    return F.array_remove(words, "") if drop_empty else words
 
 
 def word_counts(words: Column) -> Column:
