@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termlode.operators.skew import SLICE_ROWS, join_by_frequency
+from termlode.operators.skew import SLICE_ROWS, join_by_frequency, join_sliced
 from termlode.plans.search import coordinated_score, rank_order
 from termlode.sources.corpus import in_collection
 
 
+# Query texts of up to this many bytes in all are broadcast, word by word.
+BROADCAST_BYTES = 2 << 20
+
+
 def _reason():
     return (
         F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, "query missing")
@@ -34,15 +38,16 @@ def search_batch(
     queries: DataFrame,
     collection: str | None = None,
     slice_rows: int = SLICE_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Top ``amount`` documents of every valid query; ``query_id`` must be unique.
 
     Returns ``(query_id, rank, collection, file, score)``. Equal texts are scored
     once, for the largest amount asked, and the result is handed to each of them.
-    The query side of the scoring join is broadcast only if the planner finds it
-    below its threshold; otherwise both sides are shuffled and adaptive execution
-    splits the words that are skewed. Every task keeps only the best rows of a text
-    before the ranking shuffle, which needs the largest amount as a constant.
+    The words of the texts are broadcast if the texts have been counted to be
+    small; otherwise both sides are shuffled, every word in slices. Every task keeps
+    only the best rows of a text before the ranking shuffle, which needs the largest
+    amount as a constant.
     """
     valid, _ = reject_invalid(queries)
     asked = valid.select("query_id", "amount", F.lower("text").alias("text"))
@@ -51,8 +56,10 @@ def search_batch(
         F.max("amount").alias("most"),
         F.count(F.lit(1)).alias("copies"),
     )
-    size = texts.agg(F.max("most"), F.sum("copies"), F.max("copies")).first()
-    most, total_rows, largest = (number or 0 for number in size)
+    size = texts.agg(
+        F.max("most"), F.sum("copies"), F.max("copies"), F.sum(F.octet_length("text"))
+    ).first()
+    most, total_rows, largest, text_bytes = (number or 0 for number in size)
 
     words = texts.select("text_id", "most", F.split("text", " ").alias("words"))
     terms = words.select(
@@ -61,11 +68,13 @@ def search_batch(
         F.size("words").alias("total_words"),
         F.explode(F.array_distinct("words")).alias("word"),
     )
-    scores = (
-        in_collection(index, collection)
-        .join(terms, "word")
-        .groupBy("text_id", "most", "total_words", "collection", "file")
-        .agg(coordinated_score(F.col("total_words")).alias("score"))
+    searched = in_collection(index, collection)
+    if text_bytes <= broadcast_bytes:
+        matched = searched.join(F.broadcast(terms), "word")
+    else:
+        matched = join_sliced(searched, terms, ["word"], spread_by="file", hint="merge")
+    scores = matched.groupBy("text_id", "most", "total_words", "collection", "file").agg(
+        coordinated_score(F.col("total_words")).alias("score")
     )
     best_first = Window.partitionBy("text_id").orderBy(*rank_order("collection", "file"))
     ranked = (

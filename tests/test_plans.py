@@ -64,6 +64,22 @@ def test_batch_keeps_the_best_rows_before_the_ranking_shuffle(spark, real_index)
     assert "Partial" in text and "Final" in text
 
 
+def test_batch_broadcasts_only_queries_counted_small(spark, scan, tmp_path):
+    path = str(tmp_path / "index")
+    tl.index_corpus(scan, path)
+    index = tl.load_index(spark, path, file_type="bigint")
+    queries = entry._query_set(spark, SF_DIR)
+
+    def scoring(**options):
+        text = plan(tl.search_batch(index, queries, **options))
+        above = text[: text.index("FileScan orc")].splitlines()
+        return next(line for line in reversed(above) if "Join" in line)
+
+    assert "BroadcastHashJoin" in scoring()
+    large = scoring(broadcast_bytes=0)
+    assert "SortMergeJoin" in large and "_slice" in large
+
+
 def test_single_query_terms_are_the_broadcast_side(spark, index, tmp_path):
     path = str(tmp_path / "index")
     tl.write_index(index, path)

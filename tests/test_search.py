@@ -124,7 +124,8 @@ def test_copies_of_a_query_are_answered_alike(spark, real_index):
         "query_id long, text string, amount int",
     )
     plain = rows(tl.search_batch(real_index, queries))
-    assert rows(tl.search_batch(real_index, queries, slice_rows=7)) == plain
+    for options in ({"slice_rows": 7}, {"broadcast_bytes": 0}):
+        assert rows(tl.search_batch(real_index, queries, **options)) == plain
     assert len(plain) == sum(i % 5 for i in range(60))
 
 
