@@ -7,13 +7,18 @@ Doubles are rounded to six places, arrays and maps are emitted as sorted strings
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import termlode as tl
-from termlode.functions import clean, doc_name, idf, strip_prefix, tf
+# The package lies next to this file, wherever the file is loaded from.
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import termlode as tl  # noqa: E402
+from termlode.functions import clean, doc_name, strip_prefix, tf  # noqa: E402
 
 QUERY = "The ention of onthe and"
 REPEATED_QUERY = "ention onthe onthe of"
