@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -239,12 +240,39 @@ def cosine_scores(spark, sf_dir):
     return _rounded(tl.cosine(index, REPEATED_QUERY, vocab=vocab.frame))
 
 
+def _training_data() -> tuple[dict[str, Callable], dict[str, str]]:
+    """Queries and oracles of the training-data operators, where these are installed."""
+    queries: dict[str, Callable] = {}
+    oracles: dict[str, str] = {}
+    package = find_spec("termlode.llm")
+    if package is not None and package.origin is not None:
+        from termlode.llm.queries import ORACLES, QUERIES
+
+        queries.update(QUERIES)
+        oracles.update(ORACLES)
+        if find_spec("corpus_pipeline") is not None:
+            import corpus_pipeline
+
+            queries["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL is not None:
+                oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return queries, oracles
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Five best documents for a query of common words on the smallest tables."""
     return _search("the of and", n=5)(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**text_search_queries(), **_training_data()[0]}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**text_search_oracles(), **_training_data()[1]}
+
+
+def text_search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "corpus_documents": corpus_documents,
         "collection_sizes": collection_sizes,
@@ -404,7 +432,7 @@ _INDEX_SELECT = """SELECT collection, word, file, round(idf, 6) AS idf,
        round(tf_idf, 6) AS tf_idf FROM entries"""
 
 
-def oracle_sql() -> dict[str, str]:
+def text_search_oracles() -> dict[str, str]:
     scores = {
         "search_scores": _search_sql(QUERY),
         "search_top1": _search_sql(QUERY, 1),
