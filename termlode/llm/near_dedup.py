@@ -13,12 +13,14 @@ No group is ever expanded into its pairs:
 2. Within each bucket of a band every member is compared with the smallest member only.
    The best candidate of each document is confirmed first, then whatever candidates still
    lie in different components.
-3. Buckets whose members still belong to different components hand out the pairs across
-   components, nothing within one.
+3. Buckets whose members still belong to different components are looked through for
+   links across components, nothing within one. The members get a sketch of 4,096
+   coordinates, one bit of each, and the join itself compares these, so what it puts out
+   are pairs at or just below the threshold, each in one of its buckets only.
 
 Links inside a component that already hangs together are never looked at, and no other is
 left out: the result is that of all candidate pairs. A pair of similarity 0.75 shares none
-of the 32 bands with a probability of 5e-6.
+of the 32 bands with a probability of 5e-6; the sketches judge six deviations below it.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 
 from termlode.llm.common import keyed, keyed_rows, small_join, stored, with_key, without
 from termlode.llm.fingerprints import LOWER, Words, mix, slices, split_words
+from termlode.operators.skew import join_by_frequency
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 75
@@ -44,12 +47,17 @@ BANDS = COORDINATES // BAND_ROWS
 # 0.75 with a deviation of 4.9, so this is six deviations below (1e-9).
 LEAST_EQUAL = 66
 
+# The bits of the long sketch. Of 4,096, 512 are expected to differ at 0.75 with a
+# deviation of 21.2; again the bound is six deviations off.
+BITS = 4096
+MOST_DIFFERENT = 639
+
 SKETCHED = (
     "rid long, doc_id long, n_shingles long, signature binary, bands array<long>, sketch binary"
 )
 SETS = "rid long, shingles binary"
+LONG_SKETCHED = "rid long, bits array<long>"
 _UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
-_BIN_BITS = COORDINATES.bit_length() - 1
 
 
 def shingle_sets(words: Words) -> list[np.ndarray]:
@@ -75,26 +83,27 @@ def shingle_sets(words: Words) -> list[np.ndarray]:
     return sets
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of ``COORDINATES`` numbers per set; an empty set stays unfilled.
+def sketches(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarray:
+    """One row of ``coordinates`` numbers per set, a power of two; an empty set stays unfilled.
 
-    The round stands in the top byte, so the least number is the first round's.
+    The round stands in the top 13 bits, so the least number is the first round's.
     """
-    table = np.full((len(sets), COORDINATES), _UNFILLED, np.uint64)
+    table = np.full((len(sets), coordinates), _UNFILLED, np.uint64)
+    bin_bits = np.uint64(65 - coordinates.bit_length())
     sizes = np.array([len(s) for s in sets])
     pending = np.flatnonzero(sizes)
-    for turn in range(2 * COORDINATES):
+    for turn in range(2 * coordinates):
         if not len(pending):
             break
         values = np.concatenate([sets[i] for i in pending])
         row = np.repeat(pending, sizes[pending])
         drawn = mix(values + np.uint64(0x9E3779B97F4A7C15 * (turn + 1) & 0xFFFFFFFFFFFFFFFF))
-        if turn < COORDINATES:
-            place = (drawn >> np.uint64(64 - _BIN_BITS)).astype(np.int64)
+        if turn < coordinates:
+            place = (drawn >> bin_bits).astype(np.int64)
         else:
-            place = np.full(len(drawn), turn - COORDINATES)
-        kept = (drawn & np.uint64((1 << 56) - 1)) | np.uint64(turn << 56)
-        np.minimum.at(table.reshape(-1), row * COORDINATES + place, kept)
+            place = np.full(len(drawn), turn - coordinates)
+        kept = (drawn & np.uint64((1 << 51) - 1)) | np.uint64(turn << 51)
+        np.minimum.at(table.reshape(-1), row * coordinates + place, kept)
         pending = pending[(table[pending] == _UNFILLED).any(axis=1)]
     return table
 
@@ -158,6 +167,18 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _long_sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, 64):
+            part = batch.slice(low, 64)
+            sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in part.column("shingles")]
+            odd = (mix(sketches(sets, BITS)) & np.uint64(1)).astype(np.uint8)
+            bits = np.packbits(odd, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("rid"), pa.array(list(bits), pa.list_(pa.int64()))], ["rid", "bits"]
+            )
+
+
 def _count_equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sides = [
@@ -270,6 +291,49 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.where("of_a <> of_b").drop("of_a", "of_b")
 
 
+def _links_across(torn: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of different components of ``(bucket, rid, component)`` rows.
+
+    Only pairs whose long sketches differ in few enough bits leave the join, and only
+    in the least bucket that they share.
+    """
+    concerned = torn.select("rid").distinct()
+    facts = stored(
+        small_join(sets, concerned, "rid", "left_semi")
+        .mapInArrow(_long_sketch_batches, LONG_SKETCHED)
+        .join(small_join(known, concerned, "rid", "left_semi"), "rid")
+        .select("rid", "n_shingles", "bands", "bits"),
+        "long-sketches",
+    )
+    left, right = (
+        torn.join(facts, "rid").select(
+            *(
+                F.col(c).alias(f"{c}_{end}")
+                for c in ("bucket", "component", "rid", "n_shingles", "bands", "bits")
+            )
+        )
+        for end in ("a", "b")
+    )
+    different = sum(
+        (
+            F.bit_count(F.get("bits_a", F.lit(i)).bitwiseXOR(F.get("bits_b", F.lit(i))))
+            for i in range(1, BITS // 64)
+        ),
+        F.bit_count(F.get("bits_a", F.lit(0)).bitwiseXOR(F.get("bits_b", F.lit(0)))),
+    )
+    return left.join(
+        right,
+        (F.col("bucket_a") == F.col("bucket_b"))
+        & (F.col("component_a") > F.col("component_b"))
+        & (
+            100 * F.least("n_shingles_a", "n_shingles_b")
+            >= SIMILARITY_PERCENT * F.greatest("n_shingles_a", "n_shingles_b")
+        )
+        & (different <= MOST_DIFFERENT)
+        & (F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("bucket_a")),
+    ).select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept, rid)``, one row per row of ``docs``.
 
@@ -293,9 +357,24 @@ def near_duplicate_rows(rows: DataFrame) -> DataFrame:
     """:func:`near_duplicates` of keyed rows ``(rid, doc_id, text)``."""
     known = stored(sketch_documents(rows), "sketches")
     full = known.where("signature IS NOT NULL")
-    classes = full.groupBy("signature").agg(F.min("rid").alias("representative"))
+    classes = stored(
+        full.groupBy("signature").agg(
+            F.min("rid").alias("representative"), F.count(F.lit(1)).alias("copies")
+        ),
+        "signatures",
+    )
+    total, largest = classes.agg(F.sum("copies"), F.max("copies")).first()
     members = stored(
-        full.select("rid", "signature").join(classes, "signature").drop("signature"), "classes"
+        join_by_frequency(
+            full.select("rid", "signature"),
+            classes,
+            ["signature"],
+            spread_by="rid",
+            frequency="copies",
+            total_rows=total or 0,
+            largest=largest or 0,
+        ).select("rid", "representative"),
+        "classes",
     )
     heads = members.where("rid = representative").select("rid")
     facts = known.select("rid", "n_shingles", "sketch")
@@ -345,19 +424,7 @@ def near_duplicate_rows(rows: DataFrame) -> DataFrame:
         .select("bucket")
     )
     torn = stored(placed.join(mixed, "bucket"), "torn")
-    left, right = (
-        torn.select("bucket", F.col("rid").alias(end), F.col("component").alias(f"of_{end}"))
-        for end in ("a", "b")
-    )
-    rest = (
-        left.join(right, "bucket")
-        .where("of_a > of_b")
-        .select("a", "b")
-        .distinct()
-        .join(stars.select("a", "b"), ["a", "b"], "left_anti")
-        .join(stars.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    )
-    found = confirmed(similar_enough(rest, facts), sets)
+    found = confirmed(_links_across(torn, sets, known), sets)
     links = labels.select(F.col("rid").alias("a"), F.col("component").alias("b")).unionByName(found)
     labels = components(stored(links, "links"))
 
