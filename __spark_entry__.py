@@ -52,10 +52,10 @@ def _query_index(spark: SparkSession, sf_dir: str, query: str) -> DataFrame:
 
 
 def _query_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first five blank-separated words of each benchmark text, 1 to 5 results."""
+    """Each whole benchmark text as a query for 1 to 5 results."""
     return _table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"),
-        F.array_join(F.slice(F.split("text", " "), 1, 5), " ").alias("text"),
+        "text",
         (F.col("item_id") % 5 + 1).alias("amount"),
     )
 
@@ -110,6 +110,30 @@ def index_orc_roundtrip(spark, sf_dir):
     return _rounded(tl.load_index(spark, path, file_type="bigint"))
 
 
+def index_rebuild_collection(spark, sf_dir):
+    """Every collection stored on its own, one of them built anew afterwards."""
+    path = tl.scratch_path(spark, "index")
+    docs = _docs(spark, sf_dir)
+    names = [row[0] for row in tl.collection_sizes(docs).select("collection").collect()]
+    for name in sorted(names):
+        tl.index_corpus(tl.in_collection(docs, name), path)
+    tl.index_corpus(tl.in_collection(docs, COLLECTION), path, mode="overwrite")
+    return _rounded(tl.load_index(spark, path, file_type="bigint"))
+
+
+def corpus_files_roundtrip(spark, sf_dir):
+    """The documents as text files, one each, read back as a folder of folders."""
+    path = tl.scratch_path(spark, "corpus")
+    rows = _corpus(spark, sf_dir).select("collection", F.col("file").alias("doc"), "text")
+    rows.write.partitionBy("collection", "doc").text(path)
+    files = tl.read_corpus(spark, path)
+    return files.select(
+        F.substring_index("collection", "=", -1).alias("collection"),
+        F.regexp_extract("file", r"/doc=(\d+)/", 1).cast("long").alias("file"),
+        "text",
+    )
+
+
 def clean_documents_roundtrip(spark, sf_dir):
     path = tl.scratch_path(spark, "clean")
     tl.write_clean(tl.clean_documents(_docs(spark, sf_dir)), path)
@@ -191,7 +215,8 @@ def query_matches(spark, sf_dir):
 
 def query_unmatched_terms(spark, sf_dir):
     terms = tl.query_terms(_query_set(spark, sf_dir)).select("query_id", "word")
-    return tl.unmatched_terms(terms, tl.doc_freq(_docs(spark, sf_dir))).select("query_id", "word")
+    words = tl.distinct_words(_docs(spark, sf_dir))
+    return tl.unmatched_terms(terms, words).select("query_id", "word")
 
 
 def _search(query, collection=None, **options):
@@ -205,6 +230,18 @@ def search_batch_topk(spark, sf_dir):
     return _rounded(tl.search_batch(_index(spark, sf_dir), _query_set(spark, sf_dir)))
 
 
+def search_batch_compat(spark, sf_dir):
+    queries = _query_set(spark, sf_dir).withColumn("amount", F.lit(1_000_000))
+    return _rounded(tl.search_batch(_index(spark, sf_dir), queries, compat=True)).drop("rank")
+
+
+def search_batch_collections(spark, sf_dir):
+    """Every second query searches one collection, each cleaned like a document."""
+    scope = F.when(F.col("query_id") % 2 == 0, COLLECTION)
+    queries = _query_set(spark, sf_dir).withColumn("collection", scope)
+    return _rounded(tl.search_batch(_index(spark, sf_dir), queries, normalize_query=True))
+
+
 def search_batch_rejects(spark, sf_dir):
     holes = _query_set(spark, sf_dir).select(
         "query_id",
@@ -279,6 +316,8 @@ def text_search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         "doc_key_prefix_strip": doc_key_prefix_strip,
         "doc_key_name": doc_key_name,
         "index_orc_roundtrip": index_orc_roundtrip,
+        "index_rebuild_collection": index_rebuild_collection,
+        "corpus_files_roundtrip": corpus_files_roundtrip,
         "clean_documents_roundtrip": clean_documents_roundtrip,
         "clean_word_hyphen": _cleaned("word_hyphen"),
         "clean_punct_lines": clean_punct_lines,
@@ -307,6 +346,8 @@ def text_search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         "search_repeated_terms": _search(REPEATED_QUERY),
         "search_in_collection": _search(QUERY, n=10, collection=COLLECTION),
         "search_batch_topk": search_batch_topk,
+        "search_batch_compat": search_batch_compat,
+        "search_batch_collections": search_batch_collections,
         "search_batch_rejects": search_batch_rejects,
         "term_map": term_map,
         "doc_vectors": doc_vectors,
@@ -377,8 +418,7 @@ _INDEX = """
 _QUERY_SET = """
     query_set AS (
         SELECT item_id AS query_id,
-               array_to_string(string_split(text, ' ')[1:5], ' ') AS text,
-               item_id % 5 + 1 AS amount
+               text, item_id % 5 + 1 AS amount
         FROM benchmark),
     query_words AS (
         SELECT query_id, amount, unnest(string_split(lower(text), ' ')) AS word,
@@ -415,10 +455,12 @@ def _search_sql(query: str, n: int | None = None, where: str = "") -> str:
     )
 
 
+_FILE_DIGEST = "('0x' || left(md5(file::VARCHAR), 8))::BIGINT"
+
+
 def _part_sql(rows: str) -> str:
     parts = f"ceil({rows}::DOUBLE / {PART_ROWS})::BIGINT"
-    digest = "('0x' || left(md5(file::VARCHAR), 8))::BIGINT"
-    return f"CASE WHEN {parts} > 1 THEN {digest} % {parts} ELSE 0 END"
+    return f"CASE WHEN {parts} > 1 THEN {_FILE_DIGEST} % {parts} ELSE 0 END"
 
 
 def _map_sql(key: str, value: str) -> str:
@@ -476,6 +518,10 @@ FROM norms LEFT JOIN dots USING (collection, file) LEFT JOIN query_norms USING (
         ),
         "doc_key_name": "SELECT doc_id, lang || '-' || doc_id AS filename FROM documents",
         "index_orc_roundtrip": _with(_INDEX_SELECT),
+        "index_rebuild_collection": _with(_INDEX_SELECT),
+        "corpus_files_roundtrip": (
+            "SELECT lang AS collection, doc_id AS file, text || chr(10) AS text FROM documents"
+        ),
         "clean_documents_roundtrip": _with(
             "SELECT collection || '-' || file AS filename, content FROM cleaned",
             normalizer="word_hyphen_strip_last",
@@ -492,9 +538,18 @@ FROM norms LEFT JOIN dots USING (collection, file) LEFT JOIN query_norms USING (
             "SELECT collection, file, word FROM tokens", normalizer="punct_lines"
         ),
         "inverted_index": _with(
-            f"""SELECT collection, word, part, string_agg(file::VARCHAR, ' ' ORDER BY file) AS files
-FROM (SELECT collection, word, file, {_part_sql("df")} AS part
-      FROM tokens JOIN freqs USING (collection, word)) GROUP BY collection, word, part"""
+            f"""SELECT collection, word, bucket + buckets * (occurrence // {PART_ROWS}) AS part,
+       string_agg(file::VARCHAR, ' ' ORDER BY file) AS files
+FROM (SELECT *, sum("count") OVER (PARTITION BY collection, word, bucket ORDER BY file
+                                   ROWS UNBOUNDED PRECEDING)::BIGINT - "count"
+                + unnest(range("count")) AS occurrence
+      FROM (SELECT *, {_FILE_DIGEST} % buckets AS bucket
+            FROM (SELECT collection, word, file, "count",
+                         CASE WHEN cf > {PART_ROWS} THEN ceil(2 * cf / {PART_ROWS})::BIGINT
+                              ELSE 1 END AS buckets
+                  FROM (SELECT *, sum("count") OVER (PARTITION BY collection, word) AS cf
+                        FROM counts))))
+GROUP BY ALL"""
         ),
         "doc_lengths": _with("SELECT collection, file, word_count FROM lengths"),
         "term_counts": _with('SELECT collection, file, word, "count" FROM counts'),
@@ -533,6 +588,33 @@ WHERE NOT EXISTS (SELECT 1 FROM freqs WHERE freqs.word = terms.word)""",
 WHERE rank <= amount""",
             _QUERY_SET,
         ),
+        "search_batch_compat": _with(
+            """SELECT query_id, collection, file, round(score, 6) AS score FROM (
+    SELECT query_id, collection, file,
+           sum(tf_idf) * (count(tf_idf)::DOUBLE / max(total_words)) AS score
+    FROM terms LEFT JOIN entries USING (word) GROUP BY ALL)""",
+            _QUERY_SET,
+        ),
+        "search_batch_collections": _with(
+            f"""SELECT query_id, rank, collection, file, round(score, 6) AS score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id {_RANKED}) AS rank FROM (
+        SELECT query_id, amount, collection, file,
+               sum(tf_idf) * (count(*)::DOUBLE / max(total_words)) AS score
+        FROM clean_terms JOIN entries USING (word)
+        WHERE query_id % 2 = 1 OR collection = '{COLLECTION}' GROUP BY ALL))
+WHERE rank <= amount""",
+            f"""
+    clean_words AS (
+        SELECT item_id AS query_id, item_id % 5 + 1 AS amount,
+               unnest(string_split(content, ' ')) AS word,
+               len(string_split(content, ' ')) AS total_words
+        FROM (SELECT item_id, regexp_replace(regexp_replace(lower(
+                  replace(regexp_replace(text, '\\n+', chr(10), 'g'), chr(10), ' ')),
+                  '{_STRIP}', '', 'g'), '{_DELETED}', '', 'g') AS content FROM benchmark)),
+    clean_terms AS (
+        SELECT query_id, amount, word, count(*) AS tf, total_words
+        FROM clean_words GROUP BY ALL)""",
+        ),
         "search_batch_rejects": f"""WITH {_QUERY_SET},
     holes AS (
         SELECT query_id, CASE WHEN query_id % 7 <> 0 THEN text ELSE '' END AS text,

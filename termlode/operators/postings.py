@@ -7,24 +7,61 @@ one row of one task; the parts of a word together are the whole list.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termlode.operators.skew import part_of
+from termlode.operators.skew import file_digest, part_of
 
 PART_ROWS = 100_000
 
 
 def inverted_index(weighted: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
-    """``(collection, word, part, files)``: every file once per occurrence, sorted."""
+    """``(collection, word, part, files)``: every file once per occurrence, sorted.
+
+    No part has more than ``part_rows`` entries. A word that occurs more often is
+    dealt into buckets by a digest of the file, about half full each, and a bucket is
+    cut into pieces along its running count, within a file if need be.
+    """
+    buckets = F.when(F.col("cf") > part_rows, F.ceil(2 * F.col("cf") / F.lit(part_rows))).otherwise(
+        F.lit(1).cast("long")
+    )
+    size = F.lit(part_rows).cast("long")
+    bucketed = weighted.select(
+        "collection", "word", "file", "count", buckets.alias("buckets")
+    ).withColumn("bucket", F.pmod(file_digest(F.col("file")), F.col("buckets")))
+    running = (
+        Window.partitionBy("collection", "word", "bucket")
+        .orderBy("file")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    pieces = (
+        bucketed.withColumn("end", F.sum("count").over(running))
+        .withColumn("begin", F.col("end") - F.col("count"))
+        .withColumn(
+            "piece",
+            F.explode(
+                F.sequence(F.floor(F.col("begin") / size), F.floor((F.col("end") - 1) / size))
+            ),
+        )
+        .withColumn(
+            "count",
+            F.least(F.col("end"), (F.col("piece") + 1) * size)
+            - F.greatest(F.col("begin"), F.col("piece") * size),
+        )
+    )
     entries = F.sort_array(F.collect_list(F.struct("file", "count")))
     repeated = F.flatten(
         F.transform(entries, lambda e: F.array_repeat(e["file"], e["count"].cast("int")))
     )
     return (
-        weighted.withColumn("part", part_of(F.col("file"), F.col("df"), part_rows))
-        .groupBy("collection", "word", "part")
-        .agg(repeated.alias("files"))
+        pieces.groupBy("collection", "word", "bucket", "piece")
+        .agg(F.max("buckets").alias("buckets"), repeated.alias("files"))
+        .select(
+            "collection",
+            "word",
+            (F.col("bucket") + F.col("buckets") * F.col("piece")).alias("part"),
+            "files",
+        )
     )
 
 

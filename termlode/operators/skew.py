@@ -18,6 +18,9 @@ FIXED_SLICES = 64
 # Rows of one key beyond this number go to further slices.
 SLICE_ROWS = 1_000_000
 
+# Key sets counted to be no larger than this are handed to every task.
+BROADCAST_KEYS = 200_000
+
 # No more than this many keys can be hot, which bounds what is broadcast.
 HOT_KEYS = 100_000
 
@@ -99,18 +102,34 @@ def join_by_frequency(
     ).drop("_slice")
 
 
+def among(
+    frame: DataFrame, keys: DataFrame, on: str, limit: int = BROADCAST_KEYS
+) -> DataFrame:
+    """Rows whose key is one of the distinct ``keys``.
+
+    If there are counted to be few, every task gets them and the rows stay where
+    they are; else both sides are shuffled.
+    """
+    few = keys.limit(limit + 1).count() <= limit
+    return frame.join(F.broadcast(keys) if few else keys, on, "left_semi")
+
+
 def _equi_join(
     left: DataFrame, right: DataFrame, keys: list[str], how: str, hint: str | None
 ) -> DataFrame:
     return left.join(right.hint(hint) if hint else right, keys, how)
 
 
+def file_digest(file: Column) -> Column:
+    """The first 32 bits of the file's MD5, which any engine can repeat."""
+    return F.conv(F.left(F.md5(file.cast("string")), F.lit(8)), 16, 10).cast("long")
+
+
 def part_of(file: Column, rows: Column, part_rows: int) -> Column:
     """Part number of a file within a word that has ``rows`` files.
 
     Words with up to ``part_rows`` files have the single part 0. Larger ones are
-    split by the first 32 bits of the file's MD5, which any engine can repeat.
+    split by the digest of the file.
     """
     parts = F.ceil(rows / F.lit(part_rows))
-    digest = F.conv(F.left(F.md5(file.cast("string")), F.lit(8)), 16, 10).cast("long")
-    return F.when(parts > 1, F.pmod(digest, parts)).otherwise(F.lit(0).cast("long"))
+    return F.when(parts > 1, F.pmod(file_digest(file), parts)).otherwise(F.lit(0).cast("long"))

@@ -1,4 +1,4 @@
-"""Corpus statistics per collection: document count, df and idf of each word."""
+"""Corpus statistics per collection: document count, df, cf and idf of each word."""
 
 from __future__ import annotations
 
@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 from termlode.functions.text import word_array
 from termlode.functions.weights import idf
 from termlode.operators.skew import join_sliced
+from termlode.operators.words import term_counts
+from termlode.sources.store import stored
 
 
 def collection_sizes(docs: DataFrame) -> DataFrame:
-    """Documents per collection; an empty document counts. Reads one column."""
+    """Documents per collection; an empty document counts.
+
+    Reads one column of a table, but all of a folder, whose files are opened to be
+    counted; :func:`vocabulary` takes the number from its own pass.
+    """
     return docs.groupBy("collection").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
@@ -24,19 +30,34 @@ def doc_freq(
     count, and it is combined within each task before the shuffle: a word found
     in every document costs one row per task.
     """
+    held = distinct_words(docs, normalizer, drop_empty)
+    return held.groupBy("collection", "word").agg(F.count(F.lit(1)).alias("df"))
+
+
+def distinct_words(
+    docs: DataFrame, normalizer: str = "word_hyphen", drop_empty: bool = False
+) -> DataFrame:
+    """``(collection, word)`` once per document that holds the word; no shuffle."""
     held = F.array_distinct(word_array(F.col("text"), normalizer, drop_empty))
-    return holders(docs.select("collection", F.explode(held).alias("word")))
+    return docs.select("collection", F.explode(held).alias("word"))
 
 
-def holders(counts: DataFrame) -> DataFrame:
-    """Document frequency from rows that are unique per document and word."""
-    return counts.groupBy("collection", "word").agg(F.count(F.lit(1)).alias("df"))
+def frequencies(counts: DataFrame) -> DataFrame:
+    """Document and collection frequency from rows unique per document and word."""
+    return counts.groupBy("collection", "word").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("count").alias("cf")
+    )
+
 
+def with_idf(freqs: DataFrame, flipped: bool = False) -> DataFrame:
+    """Add document count and idf to frequencies that hold one null word per document.
 
-def with_idf(freqs: DataFrame, sizes: DataFrame, flipped: bool = False) -> DataFrame:
-    """Add the collection's document count and the idf to document frequencies."""
-    return join_sliced(freqs, sizes, ["collection"], spread_by="word").select(
-        "collection", "word", "df", "n_docs", idf(flipped).alias("idf")
+    The frequency of the null word is the number of documents, and it is left out.
+    """
+    sizes = freqs.where("word IS NULL").select("collection", F.col("df").alias("n_docs"))
+    words = freqs.where("word IS NOT NULL")
+    return join_sliced(words, sizes, ["collection"], spread_by="word").select(
+        "collection", "word", "df", "cf", "n_docs", idf(flipped).alias("idf")
     )
 
 
@@ -46,5 +67,9 @@ def vocabulary(
     drop_empty: bool = False,
     flipped_idf: bool = False,
 ) -> DataFrame:
-    """``(collection, word, df, n_docs, idf)`` for every word of the corpus."""
-    return with_idf(doc_freq(docs, normalizer, drop_empty), collection_sizes(docs), flipped_idf)
+    """``(collection, word, df, cf, n_docs, idf)`` for every word of the corpus.
+
+    One pass over the text; its frequencies are stored, as N is taken from them too.
+    """
+    counts = term_counts(docs, normalizer, drop_empty, markers=True)
+    return with_idf(stored(frequencies(counts), "frequencies"), flipped_idf)

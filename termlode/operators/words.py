@@ -36,10 +36,12 @@ def term_counts(
     normalizer: str = "word_hyphen",
     drop_empty: bool = False,
     words: Sequence[str] | None = None,
+    markers: bool = False,
 ) -> DataFrame:
     """``(collection, file, word, count, word_count)``, one row per distinct word.
 
     ``words`` keeps the given words only; ``word_count`` stays the full length.
+    ``markers`` adds a row with a null word and count 0 for every document.
     """
     split = docs.select(
         "collection", "file", word_array(F.col("text"), normalizer, drop_empty).alias("words")
@@ -47,9 +49,12 @@ def term_counts(
     counted = F.col("words")
     if words is not None:
         counted = F.filter(counted, lambda word: word.isin(list(words)))
+    rows = word_counts(counted)
+    if markers:
+        marker = F.struct(
+            F.lit(None).cast("string").alias("word"), F.lit(0).cast("long").alias("count")
+        )
+        rows = F.concat(F.array(marker), F.coalesce(rows, F.array_remove(F.array(marker), marker)))
     return split.select(
-        "collection",
-        "file",
-        F.size("words").cast("long").alias("word_count"),
-        F.inline(word_counts(counted)),
+        "collection", "file", F.size("words").cast("long").alias("word_count"), F.inline(rows)
     ).select("collection", "file", "word", "count", "word_count")

@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termlode.operators.skew import SLICE_ROWS, join_by_frequency, join_sliced
+from termlode.functions.text import clean
+from termlode.operators.skew import (
+    BROADCAST_KEYS,
+    FIXED_SLICES,
+    SLICE_ROWS,
+    among,
+    join_by_frequency,
+)
 from termlode.plans.search import coordinated_score, rank_order
 from termlode.sources.corpus import in_collection
+from termlode.sources.store import stored
 
-
-# Query texts of up to this many bytes in all are broadcast, word by word.
+# Query terms of up to this many bytes of text in all are broadcast.
 BROADCAST_BYTES = 2 << 20
 
 
@@ -33,61 +40,130 @@ def reject_invalid(queries: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def _matches(searched: DataFrame, terms: DataFrame, broadcast: bool, slice_rows: int) -> DataFrame:
+    """Index entries with the texts that ask for their word.
+
+    Beyond a broadcast both sides are shuffled, a word in as many slices as its
+    entries, which are counted, call for.
+    """
+    if broadcast:
+        return searched.join(F.broadcast(terms), "word")
+    counted = stored(searched.groupBy("word").agg(F.count(F.lit(1)).alias("entries")), "entries")
+    total, largest = counted.agg(F.sum("entries"), F.max("entries")).first()
+    return join_by_frequency(
+        searched,
+        terms.join(counted, "word"),
+        ["word"],
+        spread_by="file",
+        frequency="entries",
+        total_rows=total or 0,
+        largest=largest or 0,
+        hint="merge",
+        slice_rows=slice_rows,
+    ).drop("entries")
+
+
 def search_batch(
     index: DataFrame,
     queries: DataFrame,
     collection: str | None = None,
+    compat: bool = False,
+    normalize_query: bool = False,
     slice_rows: int = SLICE_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """Top ``amount`` documents of every valid query; ``query_id`` must be unique.
 
-    Returns ``(query_id, rank, collection, file, score)``. Equal texts are scored
-    once, for the largest amount asked, and the result is handed to each of them.
-    The words of the texts are broadcast if the texts have been counted to be
-    small; otherwise both sides are shuffled, every word in slices. Every task keeps
-    only the best rows of a text before the ranking shuffle, which needs the largest
-    amount as a constant.
+    Returns ``(query_id, rank, collection, file, score)``. A column ``collection`` of
+    the queries, where not null, restricts that query to it. ``compat`` ranks the row
+    of nulls that stands for unknown words after all documents; ``normalize_query``
+    cleans the texts like documents.
+
+    Equal texts are scored once, for the largest amount asked, and the result is handed
+    to each of them. The index comes down to the words asked for before anything is
+    shuffled. Scores are formed and ranked once per (text, slice of the documents) in
+    one exchange, where each slice keeps the amount of its own text, and the survivors
+    are ranked once more per text.
     """
     valid, _ = reject_invalid(queries)
-    asked = valid.select("query_id", "amount", F.lower("text").alias("text"))
-    texts = asked.groupBy("text").agg(
-        F.min("query_id").alias("text_id"),
-        F.max("amount").alias("most"),
-        F.count(F.lit(1)).alias("copies"),
+    text = clean(F.col("text")) if normalize_query else F.lower("text")
+    scope = F.col("collection") if "collection" in queries.columns else F.lit(None)
+    asked = stored(
+        valid.select(
+            "query_id",
+            F.col("amount").cast("long").alias("amount"),
+            text.alias("text"),
+            F.coalesce(scope.cast("string"), F.lit("")).alias("scope"),
+        ),
+        "asked",
     )
-    size = texts.agg(
-        F.max("most"), F.sum("copies"), F.max("copies"), F.sum(F.octet_length("text"))
-    ).first()
-    most, total_rows, largest, text_bytes = (number or 0 for number in size)
-
-    words = texts.select("text_id", "most", F.split("text", " ").alias("words"))
+    texts = stored(
+        asked.groupBy("text", "scope").agg(
+            F.min("query_id").alias("text_id"),
+            F.max("amount").alias("most"),
+            F.count(F.lit(1)).alias("copies"),
+        ),
+        "texts",
+    )
+    total_rows, largest, text_bytes = (
+        number or 0
+        for number in texts.agg(
+            F.sum("copies"), F.max("copies"), F.sum(F.octet_length("text"))
+        ).first()
+    )
+    words = texts.select("text_id", "most", "scope", F.split("text", " ").alias("words"))
     terms = words.select(
         "text_id",
         "most",
+        "scope",
         F.size("words").alias("total_words"),
         F.explode(F.array_distinct("words")).alias("word"),
     )
-    searched = in_collection(index, collection)
-    if text_bytes <= broadcast_bytes:
-        matched = searched.join(F.broadcast(terms), "word")
-    else:
-        matched = join_sliced(searched, terms, ["word"], spread_by="file", hint="merge")
-    scores = matched.groupBy("text_id", "most", "total_words", "collection", "file").agg(
-        coordinated_score(F.col("total_words")).alias("score")
+    searched = among(
+        in_collection(index, collection), terms.select("word").distinct(), "word", broadcast_keys
+    )
+    matched = _matches(searched, terms, text_bytes <= broadcast_bytes, slice_rows).where(
+        "scope IN ('', collection)"
     )
-    best_first = Window.partitionBy("text_id").orderBy(*rank_order("collection", "file"))
+    scores = (
+        matched.withColumn("_slice", F.pmod(F.xxhash64("collection", "file"), F.lit(FIXED_SLICES)))
+        .repartition("text_id", "_slice")
+        .groupBy("text_id", "_slice", "most", "total_words", "collection", "file")
+        .agg(coordinated_score(F.col("total_words")).alias("score"))
+    )
+    order = rank_order("collection", "file")
+    in_slice = Window.partitionBy("text_id", "_slice").orderBy(*order)
+    first = (
+        scores.withColumn("rank", F.row_number().over(in_slice))
+        .where("rank <= most")
+        .select("text_id", "most", "collection", "file", "score")
+    )
+    if compat:
+        known = matched.select("text_id", "word").distinct()
+        unknown = terms.join(known, ["text_id", "word"], "left_anti")
+        first = first.unionByName(
+            unknown.select(
+                "text_id",
+                "most",
+                *(
+                    F.lit(None).cast(first.schema[name].dataType).alias(name)
+                    for name in ("collection", "file", "score")
+                ),
+            ).distinct()
+        )
+    in_text = Window.partitionBy("text_id").orderBy(*order)
     ranked = (
-        scores.withColumn("rank", F.row_number().over(best_first))
-        .where((F.col("rank") <= most) & (F.col("rank") <= F.col("most")))
-        .select("text_id", F.col("rank").cast("long").alias("rank"), "collection", "file", "score")
+        first.withColumn("rank", F.row_number().over(in_text).cast("long"))
+        .where("rank <= most")
+        .select("text_id", "rank", "collection", "file", "score")
     )
-    answers = ranked.join(texts.select("text_id", "text", "copies"), "text_id")
+    answers = ranked.join(texts.select("text_id", "text", "scope", "copies"), "text_id")
     return (
         join_by_frequency(
             asked,
             answers,
-            ["text"],
+            ["text", "scope"],
             spread_by="query_id",
             frequency="copies",
             total_rows=total_rows,

@@ -5,17 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termlode.functions.weights import tf as tf_column
 from termlode.operators.skew import SLICE_ROWS, join_by_frequency, join_sliced
-from termlode.operators.vocabulary import collection_sizes, holders, vocabulary, with_idf
+from termlode.operators.vectors import doc_norms
+from termlode.operators.vocabulary import frequencies, vocabulary, with_idf
 from termlode.operators.words import term_counts
-from termlode.sources.store import scratch_path, write_index
+from termlode.sources.store import load_index, stored, write_beside, write_index
 
 WORD_KEY = ("collection", "word")
 
+# Entries of one file of a stored index.
+FILE_ROWS = 2_000_000
+
 # Slices of each word when only a few words are asked for.
 FEW_WORDS_SLICES = 256
 
@@ -29,14 +33,6 @@ class StoredVocabulary:
     largest: int
 
 
-def _stored(frame: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back."""
-    spark = frame.sparkSession
-    path = scratch_path(spark, name)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
-
-
 def store_vocabulary(
     docs: DataFrame,
     normalizer: str = "word_hyphen",
@@ -49,9 +45,9 @@ def store_vocabulary(
     over the text nor depends on the executors that ran it, and the planner sees
     its real size: small ones are broadcast, large ones are not.
     """
-    stored = _stored(vocabulary(docs, normalizer, drop_empty, flipped_idf), "vocabulary")
-    sums = stored.agg(F.sum("df").alias("total"), F.max("df").alias("largest")).first()
-    return StoredVocabulary(stored, sums["total"] or 0, sums["largest"] or 0)
+    words = stored(vocabulary(docs, normalizer, drop_empty, flipped_idf), "vocabulary")
+    sums = words.agg(F.sum("df").alias("total"), F.max("df").alias("largest")).first()
+    return StoredVocabulary(words, sums["total"] or 0, sums["largest"] or 0)
 
 
 def _with_vocabulary(
@@ -75,11 +71,13 @@ def _with_vocabulary(
     is left is stored, so the text is read once.
     """
     hint = "merge" if cluster else None
-    counts = term_counts(docs, normalizer, drop_empty, words).select(*WORD_KEY, "file", *columns)
+    kept = [*WORD_KEY, "file", *columns]
     if words is not None:
-        found = _stored(counts, "counts")
-        few = with_idf(holders(found), collection_sizes(docs), flipped_idf)
-        return join_sliced(found, few, WORD_KEY, "file", slices=FEW_WORDS_SLICES, hint=hint)
+        found = stored(term_counts(docs, normalizer, drop_empty, words, markers=True), "counts")
+        few = with_idf(frequencies(found), flipped_idf)
+        counts = found.where("word IS NOT NULL").select(kept)
+        return join_sliced(counts, few, WORD_KEY, "file", slices=FEW_WORDS_SLICES, hint=hint)
+    counts = term_counts(docs, normalizer, drop_empty).select(kept)
     if vocab is None:
         vocab = store_vocabulary(docs, normalizer, drop_empty, flipped_idf)
     return join_by_frequency(
@@ -105,7 +103,7 @@ def weighted_counts(
     cluster: bool = False,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Term counts with df, document count and idf of the word on every row."""
+    """Term counts with df, cf, document count and idf of the word on every row."""
     return _with_vocabulary(
         docs,
         ["count", "word_count"],
@@ -150,6 +148,76 @@ def build_index(
     )
 
 
-def index_corpus(docs: DataFrame, path: str, mode: str = "errorifexists", **options) -> None:
-    """Build the index of a corpus and store it; ``options`` as in :func:`build_index`."""
-    write_index(build_index(docs, cluster=True, **options), path, mode)
+def place_words(vocab: StoredVocabulary) -> StoredVocabulary:
+    """Add ``begin``, the number of index entries of all words before, in (collection, word) order.
+
+    df says how many entries a word has, so the place of every entry in the ordered
+    index is known before it exists and no sample of it is taken. Words are summed
+    within ranges first; the ranges are as many as shuffle partitions.
+    """
+    ordered = stored(
+        vocab.frame.repartitionByRange("collection", "word").withColumn(
+            "_range", F.spark_partition_id()
+        ),
+        "ordered",
+    )
+    inside = Window.partitionBy("_range").orderBy("collection", "word")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ordered.groupBy("_range").agg(F.sum("df").alias("_entries"))
+    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select(
+        "_range", F.coalesce(F.sum("_entries").over(above), F.lit(0)).alias("_offset")
+    )
+    placed = (
+        ordered.withColumn("_begin", F.coalesce(F.sum("df").over(before), F.lit(0)))
+        .join(F.broadcast(offsets), "_range")
+        .withColumn("begin", F.col("_begin") + F.col("_offset"))
+        .drop("_range", "_begin", "_offset")
+    )
+    return StoredVocabulary(stored(placed, "placed"), vocab.total_rows, vocab.largest)
+
+
+def index_corpus(
+    docs: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    norms_path: str | None = None,
+    vocab_path: str | None = None,
+    file_rows: int = FILE_ROWS,
+    normalizer: str = "word_hyphen",
+    tf: str = "ratio",
+    drop_empty: bool = False,
+    flipped_idf: bool = False,
+) -> None:
+    """Build the index of a corpus and store it in files that each hold a range of words.
+
+    Every file has about ``file_rows`` entries of neighbouring words; the entries of a
+    commoner word are dealt over several files by ``file``. Collections may be added to
+    a store one after the other; see :func:`write_index` for ``mode``. ``norms_path``
+    also stores the norm of every document, 0 for one without entries, and
+    ``vocab_path`` the vocabulary, from which :func:`cosine` scores without reading
+    more of the index than the query's words. Other options as in :func:`build_index`.
+    """
+    vocab = place_words(store_vocabulary(docs, normalizer, drop_empty, flipped_idf))
+    counts = _with_vocabulary(
+        docs, [tf_column(tf).alias("tf")], normalizer, drop_empty, None, flipped_idf, vocab, False
+    )
+    place = F.col("begin") + F.pmod(F.xxhash64("file"), F.col("df"))
+    entries = counts.select(
+        *WORD_KEY,
+        "file",
+        "idf",
+        (F.col("tf") * F.col("idf")).alias("tf_idf"),
+        F.floor(place / F.lit(file_rows)).cast("int").alias("_file"),
+    )
+    files = max(1, -(-vocab.total_rows // file_rows))
+    write_index(entries.repartitionById(files, "_file"), path, mode, collections=vocab.frame)
+    if vocab_path is not None:
+        write_beside(vocab.frame.select(*WORD_KEY, "df", "n_docs", "idf"), vocab_path)
+    if norms_path is not None:
+        names = [row[0] for row in vocab.frame.select("collection").distinct().collect()]
+        kind = docs.schema["file"].dataType.simpleString()
+        index = load_index(docs.sparkSession, path, file_type=kind)
+        norms = doc_norms(index.where(F.col("collection").isin(names)))
+        every = docs.select("collection", "file").join(norms, ["collection", "file"], "left")
+        write_beside(every.withColumn("norm", F.coalesce("norm", F.lit(0.0))), norms_path)

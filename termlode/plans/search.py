@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlode.functions.text import clean, word_counts
-from termlode.operators.skew import join_sliced
+from termlode.operators.skew import among, join_sliced
 from termlode.plans.index import build_index
 from termlode.sources.corpus import in_collection
 
@@ -69,16 +69,19 @@ def query_matches(index: DataFrame, query: str, collection: str | None = None) -
 def unmatched_words(terms: DataFrame, index: DataFrame) -> DataFrame:
     """Distinct words of the query terms with no entry in the index.
 
-    Both sides come down to distinct words first, combined within each task, so a
-    common word is a single row when they meet.
+    Only words that were asked for leave the rows of the index, so that is all
+    that is shuffled; a common word is a single row per task.
     """
-    return terms.select("word").distinct().join(
-        index.select("word").distinct(), "word", "left_anti"
-    )
+    asked = terms.select("word").distinct()
+    present = among(index.select("word"), asked, "word").distinct()
+    return asked.join(present, "word", "left_anti")
 
 
 def unmatched_terms(terms: DataFrame, index: DataFrame) -> DataFrame:
-    """Terms of a query table, ``(query_id, word, ...)``, with no entry in the index."""
+    """Terms of a query table, ``(query_id, word, ...)``, with no entry in the index.
+
+    ``index`` may be any frame of words; one row per document and word will do.
+    """
     missing = unmatched_words(terms, index)
     return join_sliced(terms, missing, ["word"], spread_by="query_id", how="left_semi")
 

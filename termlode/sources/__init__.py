@@ -6,10 +6,15 @@ from termlode.sources.corpus import (
     spread,
 )
 from termlode.sources.store import (
+    delete_scratch,
     load_clean,
     load_index,
+    load_norms,
+    load_vocabulary,
     scratch_path,
+    stored_collections,
     warm,
+    write_beside,
     write_clean,
     write_index,
 )
@@ -17,13 +22,18 @@ from termlode.sources.store import (
 __all__ = [
     "clean_documents",
     "corpus_from_table",
+    "delete_scratch",
     "in_collection",
     "load_clean",
     "load_index",
+    "load_norms",
+    "load_vocabulary",
     "read_corpus",
     "scratch_path",
     "spread",
+    "stored_collections",
     "warm",
+    "write_beside",
     "write_clean",
     "write_index",
 ]

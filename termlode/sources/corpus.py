@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from termlode.functions.text import clean, doc_name, strip_prefix
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The absolute path with scheme and authority, as the file system itself names it."""
+    context = spark.sparkContext
+    given = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = given.getFileSystem(context._jsc.hadoopConfiguration())
+    return system.makeQualified(given).toString()
+
+
 def read_corpus(
     spark: SparkSession,
     root: str,
@@ -19,18 +27,26 @@ def read_corpus(
 
     The first folder below ``root`` is the collection; with ``collection`` given
     only that folder is listed. ``file`` is the path below ``root``, or, with
-    ``prefix`` given, the full path with that literal prefix removed.
+    ``prefix`` given, the full path with that literal prefix removed. ``root`` may be
+    relative, absolute or a URL; it is qualified by its file system and cut off at
+    the start of each path only. A file found elsewhere is an error.
     """
-    root = root.rstrip("/") + "/"
+    top = _qualified(spark, root).rstrip("/") + "/"
     files = spark.read.text(
-        root + (collection or ""),
+        top + (collection or ""),
         wholetext=True,
         pathGlobFilter="*" + suffix,
         recursiveFileLookup=True,
     )
     # The metadata column is URL-encoded; a plus sign in it stands for itself.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    below = F.substr(path, F.instr(path, root) + F.lit(len(root)))
+    # An empty authority may be written as three slashes or left out.
+    plain = F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/+(?=/)", "$1:")
+    if not top.startswith("file:"):
+        plain = path
+    below = F.when(F.startswith(plain, F.lit(top)), F.substr(plain, F.lit(len(top) + 1))).otherwise(
+        F.raise_error(F.concat(path, F.lit(f" does not lie below {top}")))
+    )
     return files.select(
         F.split(below, "/", 2)[0].alias("collection"),
         (strip_prefix(path, prefix) if prefix else below).alias("file"),
@@ -42,10 +58,12 @@ def corpus_from_table(table: DataFrame, collection: str, file: str, text: str) -
     """Use a table as a corpus; ``file`` must be unique within a collection.
 
     A document is addressed by both, as a file is by its path, so a row without
-    them is no document.
+    them is no document. A missing text is an empty one, as an empty file has.
     """
     return table.select(
-        F.col(collection).alias("collection"), F.col(file).alias("file"), F.col(text).alias("text")
+        F.col(collection).alias("collection"),
+        F.col(file).alias("file"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
     ).where(F.col("collection").isNotNull() & F.col("file").isNotNull())
 
 

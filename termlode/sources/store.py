@@ -13,31 +13,103 @@ from termlode.sources.corpus import in_collection
 
 INDEX_COLUMNS = ("collection", "word", "file", "idf", "tf_idf")
 
+_made: list[str] = []
+
 
 @functools.cache
 def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="termlode-")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder named by ``spark.checkpoint.dir``.
+def _scratch_folder(spark: SparkSession) -> str:
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    context = spark.sparkContext
+    if context.getCheckpointDir():
+        return context.getCheckpointDir()
+    if context.master.split("[")[0] == "local":
+        return _own_folder()
+    raise ValueError(
+        "executors need a shared folder for intermediate tables: set spark.checkpoint.dir, "
+        "call setCheckpointDir, or pass scratch="
+    )
+
+
+def scratch_path(spark: SparkSession, name: str, scratch: str | None = None) -> str:
+    """A new path for an intermediate table, in a folder that all executors share.
+
+    That is ``scratch`` if given, else ``spark.checkpoint.dir``, else the context's
+    checkpoint directory. Only a local master gets a temporary folder of its own.
+    """
+    folder = scratch or _scratch_folder(spark)
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def delete_scratch(spark: SparkSession) -> int:
+    """Delete all paths this process got from :func:`scratch_path`; returns how many were there.
 
-    Only a session without that setting (tests, a laptop) gets a folder of its own.
+    Frames that still read them fail afterwards.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    deleted = 0
+    while _made:
+        deleted += _hadoop(spark, _made.pop(), lambda system, path: system.delete(path, True))
+    return deleted
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """Write a frame to a scratch path and read it back."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str, action):
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    return action(where.getFileSystem(context._jsc.hadoopConfiguration()), where)
 
 
-def write_index(index: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def stored_collections(spark: SparkSession, path: str) -> set[str]:
+    """Names of the collections of a store; none where there is no store yet."""
+    if not _hadoop(spark, path, lambda system, where: system.exists(where)):
+        return set()
+    names = spark.read.schema("word string, collection string").orc(path).select("collection")
+    return {row[0] for row in names.distinct().collect()}
+
+
+def write_index(
+    index: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    collections: DataFrame | None = None,
+) -> None:
     """Write the index as ORC, one directory per collection, sorted by word.
 
-    Sorted files let the row-group statistics skip all but the asked-for words;
-    the Bloom filter spares the read where a word only falls inside a range.
+    Other collections of the store are left alone. ``errorifexists`` refuses a
+    collection that is there, ``overwrite`` replaces it; there is no appending to one.
+    ``collections`` may name those of the index in a column of that name, else they
+    are taken from the index itself. A collection needs a name: null and ``''`` are
+    refused. Sorted files let the row-group statistics skip all but the asked-for
+    words; the Bloom filter spares the read where a word only falls inside a range.
     """
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"mode {mode!r} is neither 'errorifexists' nor 'overwrite'")
+    spark = index.sparkSession
+    names = (index if collections is None else collections).select("collection").distinct()
+    new = {row[0] for row in names.collect()}
+    if not all(new):
+        raise ValueError("a collection without a name cannot be stored")
+    clash = new & stored_collections(spark, path) if mode == "errorifexists" else set()
+    if clash:
+        raise ValueError(f"already in {path}: {', '.join(sorted(clash))}")
     (
         index.select(*INDEX_COLUMNS)
         .sortWithinPartitions("collection", "word")
-        .write.mode(mode)
+        .write.mode("append" if mode == "errorifexists" else "overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("orc.bloom.filter.columns", "word")
         .partitionBy("collection")
         .orc(path)
@@ -66,6 +138,29 @@ def warm(index: DataFrame) -> int:
     return index.count()
 
 
+def write_beside(facts: DataFrame, path: str) -> None:
+    """Write norms or a vocabulary as Parquet by collection; the collections written are replaced."""
+    (
+        facts.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("collection")
+        .parquet(path)
+    )
+
+
+def load_norms(spark: SparkSession, path: str, file_type: str = "string") -> DataFrame:
+    """``(collection, file, norm)`` of every document of a store."""
+    schema = f"file {file_type}, norm double, collection string"
+    return spark.read.schema(schema).parquet(path).select("collection", "file", "norm")
+
+
+def load_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    """``(collection, word, df, n_docs, idf)`` of a store."""
+    schema = "word string, df long, n_docs long, idf double, collection string"
+    found = spark.read.schema(schema).parquet(path)
+    return found.select("collection", "word", "df", "n_docs", "idf")
+
+
 def write_clean(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write cleaned ``(filename, content)`` documents as Parquet."""
     documents.select("filename", "content").write.mode(mode).parquet(path)

@@ -1,6 +1,8 @@
 """What the physical plans must and must not hold."""
 
 import pytest
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import termlode as tl
@@ -15,7 +17,7 @@ def scan(spark):
 
 
 def test_nothing_runs_python_rows(spark):
-    for name, query in entry.queries().items():
+    for name, query in entry.text_search_queries().items():
         text = plan(query(spark, SF_DIR))
         assert "Python" not in text and "MapInPandas" not in text, name
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
@@ -58,26 +60,79 @@ def test_large_vocabulary_is_not_broadcast(spark, scan):
     assert "Broadcast" not in text and "SortMergeJoin" in text
 
 
-def test_batch_keeps_the_best_rows_before_the_ranking_shuffle(spark, real_index):
-    text = plan(tl.search_batch(real_index, entry._query_set(spark, SF_DIR)))
-    assert text.count("WindowGroupLimit") == 2
-    assert "Partial" in text and "Final" in text
-
-
-def test_batch_broadcasts_only_queries_counted_small(spark, scan, tmp_path):
-    path = str(tmp_path / "index")
+@pytest.fixture(scope="module")
+def cold_index(spark, scan, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("plans") / "index")
     tl.index_corpus(scan, path)
-    index = tl.load_index(spark, path, file_type="bigint")
+    return tl.load_index(spark, path, file_type="bigint")
+
+
+def mixed_amounts(spark):
+    amount = F.when(F.col("query_id") % 2 == 0, 5).otherwise(100_000)
+    return entry._query_set(spark, SF_DIR).withColumn("amount", amount)
+
+
+def test_batch_ranks_each_text_in_slices_before_the_last_exchange(spark, cold_index):
+    text = plan(tl.search_batch(cold_index, mixed_amounts(spark), broadcast_bytes=0))
+    lines = text.splitlines()
+    windows = [i for i, line in enumerate(lines) if "Window [" in line]
+    assert len(windows) == 2
+    upper, lower = windows
+    assert "_slice" in lines[lower] and "_slice" not in lines[upper]
+    between = "\n".join(lines[upper:lower])
+    assert between.count("Exchange hashpartitioning(text_id") == 1
+    assert "rank" in between and "most" in between
+    below = "\n".join(lines[lower:])
+    # Scores and first ranks share the exchange on (text, slice).
+    assert below.index("HashAggregate") < below.index("Exchange hashpartitioning(text_id")
+    assert below.count("Exchange hashpartitioning(text_id") == 1
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
+def test_batch_filters_the_index_before_it_moves(spark, cold_index, options):
+    text = plan(tl.search_batch(cold_index, mixed_amounts(spark), **options))
+    lines = text.splitlines()
+    scans = [i for i, line in enumerate(lines) if "FileScan orc" in line]
+    assert scans
+    for at in scans:
+        above = [line for line in lines[:at] if "Exchange" in line or "LeftSemi" in line]
+        assert "LeftSemi" in above[-1] or "BroadcastHashJoin" in above[-1]
+
+
+def test_batch_broadcasts_only_queries_counted_small(spark, cold_index):
     queries = entry._query_set(spark, SF_DIR)
-
-    def scoring(**options):
-        text = plan(tl.search_batch(index, queries, **options))
-        above = text[: text.index("FileScan orc")].splitlines()
-        return next(line for line in reversed(above) if "Join" in line)
-
-    assert "BroadcastHashJoin" in scoring()
-    large = scoring(broadcast_bytes=0)
-    assert "SortMergeJoin" in large and "_slice" in large
+    large = plan(tl.search_batch(cold_index, queries, broadcast_bytes=0))
+    assert "SortMergeJoin" in large
+    assert "SortMergeJoin" not in plan(tl.search_batch(cold_index, queries)).split("Window [")[-1]
+
+
+def test_unmatched_words_shuffle_only_what_was_asked(spark, scan):
+    terms = tl.query_terms(entry._query_set(spark, SF_DIR)).select("query_id", "word")
+    text = plan(tl.unmatched_terms(terms, tl.distinct_words(scan)))
+    lines = text.splitlines()
+    documents = next(i for i, line in enumerate(lines) if "lang" in line and "FileScan" in line)
+    above = [line for line in lines[:documents] if "Exchange" in line or "LeftSemi" in line]
+    assert "LeftSemi" in above[-1]
+
+
+def test_folders_are_read_twice_to_build_and_once_to_search(spark, tmp_path, monkeypatch):
+    for i in range(3):
+        (tmp_path / "corpus" / "c").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "corpus" / "c" / f"{i}.txt").write_text(f"red dog {i}")
+    scans = []
+    written = DataFrameWriter.parquet
+
+    def counting(self, path, *rest, **options):
+        scans.append(plan(self._df).count("FileScan text"))
+        return written(self, path, *rest, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", counting)
+    docs = tl.read_corpus(spark, str(tmp_path / "corpus"))
+    index = tl.build_index(docs)
+    assert sum(scans) + plan(index).count("FileScan text") == 2
+    scans.clear()
+    found = tl.search_documents(docs, "red dog", 2)
+    assert sum(scans) + plan(found).count("FileScan text") == 1
 
 
 def test_single_query_terms_are_the_broadcast_side(spark, index, tmp_path):

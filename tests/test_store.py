@@ -1,9 +1,10 @@
+import os
+
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import termlode as tl
-from conftest import CORPUS, plan, rows
+from conftest import CORPUS, make_docs, plan, rows
 from termlode.sources import store
 
 
@@ -45,10 +46,87 @@ def test_index_of_files_equals_index_of_rows(spark, folder, index, tmp_path):
 def test_existing_index_is_not_overwritten(spark, index, tmp_path):
     path = str(tmp_path / "index")
     tl.write_index(index, path)
-    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(ValueError, match="already in"):
         tl.write_index(index, path)
-    tl.write_index(index.where("word = 'dog'"), path, mode="overwrite")
-    assert tl.warm(tl.load_index(spark, path)) == 4
+    with pytest.raises(ValueError, match="neither"):
+        tl.write_index(index, path, mode="append")
+    whole = tl.warm(tl.load_index(spark, path))
+    in_c1 = tl.warm(tl.load_index(spark, path, "c1"))
+    tl.write_index(index.where("word = 'dog' AND collection = 'c1'"), path, mode="overwrite")
+    assert tl.warm(tl.load_index(spark, path)) == whole - in_c1 + 4
+
+
+def test_collections_built_one_by_one_equal_one_build(spark, docs, index, tmp_path):
+    path = str(tmp_path / "index")
+    for name in ("c1", "c2"):
+        tl.index_corpus(tl.in_collection(docs, name), path)
+    assert rows(tl.load_index(spark, path)) == rows(index)
+    with pytest.raises(ValueError, match="already in"):
+        tl.index_corpus(tl.in_collection(docs, "c2"), path)
+    tl.index_corpus(tl.in_collection(docs, "c2"), path, mode="overwrite")
+    assert rows(tl.load_index(spark, path)) == rows(index)
+    assert tl.stored_collections(spark, path) == {"c1", "c2"}
+
+
+def test_a_collection_needs_a_name(index, tmp_path):
+    with pytest.raises(ValueError, match="without a name"):
+        tl.write_index(index.withColumn("collection", F.lit("")), str(tmp_path / "index"))
+
+
+@pytest.mark.parametrize("form", ["{}", "file:{}", "file://{}", "{}/"])
+def test_forms_of_a_root(spark, folder, form):
+    found = tl.read_corpus(spark, form.format(folder))
+    assert rows(found, "file", "collection", "text") == sorted(CORPUS, key=repr)
+
+
+def test_relative_root_whose_name_comes_twice(spark, tmp_path, monkeypatch):
+    root = tmp_path / "corpus" / "old" / "corpus"
+    for collection in ("a1", "b1"):
+        (root / collection).mkdir(parents=True)
+        (root / collection / "x.txt").write_text(collection)
+    user_dir = spark._jvm.java.lang.System.getProperty("user.dir")
+    relative = os.path.relpath(root, user_dir)
+    for given in (str(root), relative):
+        found = tl.read_corpus(spark, given)
+        assert rows(found) == [("a1", "a1/x.txt", "a1"), ("b1", "b1/x.txt", "b1")]
+    assert rows(tl.read_corpus(spark, relative, collection="b1"), "file") == [("b1/x.txt",)]
+
+
+def test_norms_cover_every_document(spark, tmp_path):
+    texts = [("a", "c", "red dog"), ("b", "c", "& !"), ("d", "c", "red")]
+    docs = make_docs(spark, texts)
+    path, norms_path, vocab_path = (str(tmp_path / x) for x in ("index", "norms", "vocab"))
+    for mode in ("errorifexists", "overwrite"):
+        tl.index_corpus(docs, path, mode, norms_path, vocab_path, drop_empty=True)
+    index, norms = tl.load_index(spark, path), tl.load_norms(spark, norms_path)
+    vocab = tl.load_vocabulary(spark, vocab_path)
+    assert rows(vocab, "word", "df") == [("dog", 1), ("red", 2)]
+    assert rows(norms, "file") == [("a",), ("b",), ("d",)]
+    found = tl.cosine(index, "red dog", norms=norms, vocab=vocab)
+    scores = dict(rows(found, "file", "score"))
+    assert scores["b"] is None and scores["a"] > 0
+    scans = [line for line in plan(found).splitlines() if "FileScan orc" in line]
+    assert scans and all("In(word" in line for line in scans)
+
+
+def test_files_hold_ranges_of_words(spark, real_docs, real_index, tmp_path):
+    path = str(tmp_path / "index")
+    tl.index_corpus(real_docs, path, file_rows=2000)
+    index = tl.load_index(spark, path, file_type="bigint")
+    assert rows(index) == rows(real_index)
+    files = [
+        (row["collection"], row["lo"].encode(), row["hi"].encode(), row["n"])
+        for row in spark.read.orc(path)
+        .groupBy("collection", F.input_file_name().alias("f"))
+        .agg(F.min("word").alias("lo"), F.max("word").alias("hi"), F.count("*").alias("n"))
+        .collect()
+    ]
+    assert len(files) > 10 and max(n for *_, n in files) < 4000
+    for one, other in zip(sorted(files), sorted(files)[1:], strict=False):
+        assert one[0] != other[0] or one[2] <= other[1]
+    holding = spark.read.orc(path).where("word = 'Ende' OR word = 'the'").select(F.input_file_name())
+    reached = [f for f in files if f[1] <= b"the" <= f[2]]
+    assert holding.distinct().count() <= len(reached) <= 8
 
 
 def test_search_on_the_store_prunes_and_pushes_down(spark, real_index, tmp_path):
@@ -112,11 +190,41 @@ def test_scratch_paths_are_in_the_shared_folder(spark, tmp_path):
     assert tl.scratch_path(Session, "x").startswith(f"{tmp_path}/x-")
 
 
+def test_cluster_sessions_need_a_shared_folder(tmp_path):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="shared folder"):
+        tl.scratch_path(Session, "x")
+    Session.sparkContext.master = "local-cluster[3,2,1024]"
+    with pytest.raises(ValueError, match="shared folder"):
+        tl.scratch_path(Session, "x")
+    assert tl.scratch_path(Session, "x", scratch=str(tmp_path)).startswith(str(tmp_path))
+    Session.sparkContext.getCheckpointDir = staticmethod(lambda: "hdfs:///checkpoints")
+    assert tl.scratch_path(Session, "x").startswith("hdfs:///checkpoints/x-")
+
+
+def test_scratch_paths_can_be_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "_made", [])
+    path = tl.scratch_path(spark, "x", scratch=str(tmp_path))
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(path)
+    assert tl.delete_scratch(spark) == 1
+    assert not os.path.exists(path)
+
+
 def test_rows_without_a_key_are_no_documents(spark):
     table = spark.createDataFrame(
         [("c", 1, "a"), (None, 2, "b"), ("c", None, "d")], "k string, id long, t string"
     )
     assert rows(tl.corpus_from_table(table, "k", "id", "t")) == [("c", 1, "a")]
+    empty = spark.createDataFrame([("c", 1, None)], "k string, id long, t string")
+    assert rows(tl.corpus_from_table(empty, "k", "id", "t")) == [("c", 1, "")]
 
 
 def test_spread_moves_small_scans_only(spark, real_docs, tmp_path):

@@ -82,6 +82,7 @@ def test_parts_of_a_posting_list_make_it_whole(real_docs, part_rows):
     assert joined.exceptAll(whole).count() == 0
     assert joined.count() == whole.count()
     assert (parts.where("part > 0").count() > 0) == (part_rows < 100)
+    assert parts.agg(F.max(F.size("files"))).first()[0] <= part_rows
 
 
 def test_term_map_and_document_vectors_hold_the_index(docs, index):
