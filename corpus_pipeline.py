@@ -2,6 +2,11 @@
 
 Every stage is ``(spark, docs, sf_dir) -> DataFrame``; all but the last return the columns
 of ``documents``. The result of a stage is written and read again before the next.
+
+A null or empty text has no language and goes in the first stage. Of repeated rows one is
+left, also where doc_id is null; later stages see rows in the order of (doc_id, text).
+Further columns, whatever their names, pass through the first four stages. Empty tables
+stay empty.
 """
 
 from __future__ import annotations

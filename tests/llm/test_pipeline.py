@@ -4,6 +4,7 @@ import brute
 import corpus_pipeline
 from brute import SF_DIR
 from termlode.llm import language
+from termlode.sources.store import scratch_path
 
 
 def test_stages_are_those_registered():
@@ -41,3 +42,20 @@ def test_rejects_what_has_no_language(spark):
     kept = corpus_pipeline.identify_language(spark, docs, SF_DIR)
     assert [row["doc_id"] for row in kept.collect()] == [1]
     assert language.UNDETERMINED == "und"
+
+
+def test_stages_stand_odd_rows(spark):
+    text = "the words of it and some more of them here"
+    rows = [(1, text), (1, text), (None, text), (None, None), (2, ""), (3, "12 34"), (4, text + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'en' AS lang", "1 AS rid", "'b' AS block", "0 AS score"
+    )
+    path = scratch_path(spark, "odd")
+    docs.write.parquet(path)
+    docs = spark.read.parquet(path)
+    for given, left in ((docs, 1), (docs.limit(0), 0)):
+        for name, stage in corpus_pipeline.STAGES[:4]:
+            given = stage(spark, given, SF_DIR)
+            assert given.columns == docs.columns, name
+        assert given.count() == left
+        assert corpus_pipeline.STAGES[4][1](spark, given, SF_DIR).count() == left
