@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Text bytes handled at a time; a longer document is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _STEPS = (0xC2B2AE3D27D4EB4F, 0x2545F4914F6CDD1D)
