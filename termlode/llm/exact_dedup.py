@@ -12,17 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termlode.llm.common import keyed, keyed_rows, stored, with_key, without
+from termlode.llm.common import keyed, keyed_rows, small_join, stored, with_key, without
 from termlode.operators.skew import join_by_frequency
 
 PREFIX_BYTES = 64
 KEYS = ["size", "prefix", "text_sha256"]
 
 
-def _tied(frame: DataFrame, *keys: str) -> DataFrame:
-    return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
-
-
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, keep_id, group_size, kept, text_sha256, rid)``, one row per row of ``docs``.
 
@@ -54,10 +50,31 @@ def exact_duplicate_rows(keyed_docs: DataFrame) -> DataFrame:
         ),
         "digests",
     )
-    sized = rows.join(_tied(rows, "size"), "size", "left_semi")
-    alike = _tied(sized, "size", "prefix").withColumn("tied", F.lit(True))
-    marked = stored(rows.join(alike, ["size", "prefix"], "left"), "marked")
-    survivors = marked.where("tied")
+    # Level 1: lengths that occur more than once. Level 2: among those, length and prefix.
+    lengths = rows.groupBy("size").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sized = small_join(rows, lengths.select("size", F.lit(True).alias("sized")), "size", "left")
+    prefixes = stored(
+        sized.where("sized").groupBy("size", "prefix").agg(F.count(F.lit(1)).alias("alike")),
+        "prefixes",
+    )
+    total, largest = prefixes.agg(F.sum("alike"), F.max("alike")).first()
+    refined = join_by_frequency(
+        sized.where("sized").drop("sized"),
+        prefixes,
+        ["size", "prefix"],
+        spread_by="rid",
+        frequency="alike",
+        total_rows=total or 0,
+        largest=largest or 0,
+    )
+    marked = stored(
+        refined.unionByName(
+            sized.where("sized IS NULL").drop("sized").withColumn("alike", F.lit(1).cast("long"))
+        ),
+        "marked",
+    )
+    # Level 3: digests, of what is still tied.
+    survivors = marked.where("alike > 1").drop("alike")
     groups = stored(
         survivors.groupBy(*KEYS).agg(
             F.max("rid").alias("keep_rid"),
@@ -76,8 +93,8 @@ def exact_duplicate_rows(keyed_docs: DataFrame) -> DataFrame:
         total_rows=total or 0,
         largest=largest or 0,
     )
-    alone = marked.where("tied IS NULL").select(
-        "*",
+    alone = marked.where("alike = 1").select(
+        *rows.columns,
         F.col("rid").alias("keep_rid"),
         F.col("doc_id").alias("keep_id"),
         F.lit(1).cast("long").alias("group_size"),
