@@ -36,7 +36,7 @@ BLOCK_ITEMS = 16
 _SEPARATOR = np.ones(256, bool)
 _SEPARATOR[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
 
-_LAST_SENTENCE = re.compile(r"(?s)(.*\w.*?[.!?\n])(?=\s*\w)(.*)")
+_SENTENCE_END = re.compile(r"[.!?](?=\s+\w)|\n(?=\s*\w)")
 
 
 def words_of(texts: pa.Array) -> Words:
@@ -46,16 +46,9 @@ def words_of(texts: pa.Array) -> Words:
 
 def question_and_answer(text: str) -> tuple[str, str]:
     """All sentences but the last, and the last; a single sentence is all question."""
-    found = _LAST_SENTENCE.fullmatch(text)
-    return (found[1], found[2]) if found else (text, "")
-
-
-def _runs(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Lists put one after the other, and where each begins."""
-    return (
-        np.concatenate(lists) if lists else np.zeros(0, np.int64),
-        np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64),
-    )
+    first = re.search(r"\w", text)
+    ends = [m.end() for m in _SENTENCE_END.finditer(text) if first and m.start() > first.start()]
+    return (text[: ends[-1]], text[ends[-1] :]) if ends else (text, "")
 
 
 def _expand(first: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
