@@ -31,7 +31,7 @@ BLOCK_BYTES = 8 << 20
 
 
 _PACKED = "part long, block long, size long, packed binary"
-ENCODED = "rid long, doc_id long, n_tokens long, ids binary"
+ENCODED = "rid long, doc_id long, n_tokens long, ids binary, decoded binary"
 
 
 def read_ranks(path: str | None = None) -> bytes:
@@ -55,19 +55,40 @@ def _encoding(ranks: bytes) -> tiktoken.Encoding:
     )
 
 
+_CODEC = pa.Codec("zstd", compression_level=6)
+
+
 def pack(words: list[bytes]) -> tuple[int, bytes]:
-    """Size unpacked, and the words compressed."""
-    lengths = np.array([len(words), *map(len, words)], "<u4").tobytes()
-    data = lengths + b"".join(words)
-    return len(data), pa.compress(data, codec="zstd", asbytes=True)
+    """Size unpacked, and the words compressed: item size, count, lengths, bytes."""
+    longest = max(map(len, words), default=0)
+    width = 1 if longest < 1 << 8 else 2 if longest < 1 << 16 else 4
+    lengths = np.array([len(word) for word in words], f"<u{width}").tobytes()
+    data = bytes([width]) + np.uint32(len(words)).tobytes() + lengths + b"".join(words)
+    return len(data), _CODEC.compress(data, asbytes=True)
 
 
 def unpack(size: int, packed: bytes) -> list[bytes]:
-    data = pa.decompress(packed, decompressed_size=size, codec="zstd", asbytes=True)
-    count = int(np.frombuffer(data[:4], "<u4")[0])
-    ends = np.cumsum(np.frombuffer(data, "<u4", count, 4)) + 4 * (count + 1)
-    starts = [4 * (count + 1), *ends.tolist()]
-    return [data[a:b] for a, b in zip(starts, ends.tolist(), strict=False)]
+    data = _CODEC.decompress(packed, decompressed_size=size, asbytes=True)
+    width, count = data[0], int(np.frombuffer(data, "<u4", 1, 1)[0])
+    first = 5 + width * count
+    ends = (first + np.cumsum(np.frombuffer(data, f"<u{width}", count, 5), dtype=np.int64)).tolist()
+    return [data[a:b] for a, b in zip([first, *ends], ends, strict=False)]
+
+
+def _id_type(ranks: bytes) -> str:
+    """The narrowest type on the way that holds every id."""
+    return "<u2" if max(tokens_of(ranks).values()) < 1 << 16 else "<u4"
+
+
+@lru_cache(maxsize=2)
+def _bytes_of(ranks: bytes) -> dict[int, bytes]:
+    return {rank: token for token, rank in tokens_of(ranks).items()}
+
+
+def decode_ids(ids: bytes | None, ranks: bytes) -> bytes:
+    """Bytes of little-endian unsigned 32-bit ids, by a join with the token-byte table."""
+    table = _bytes_of(ranks)
+    return b"".join([table[i] for i in np.frombuffer(ids or b"", "<u4").tolist()])
 
 
 def _block_words(table: pa.Table, parts: int) -> tuple[pa.Array, list[bytes], np.ndarray]:
@@ -76,10 +97,11 @@ def _block_words(table: pa.Table, parts: int) -> tuple[pa.Array, list[bytes], np
     The order is that of (part, word), whatever the order of the rows.
     """
     flat = table.column("words").combine_chunks().flatten().cast(pa.binary())
-    distinct = flat.unique().to_pylist()
-    part = np.array([zlib.crc32(word) % parts for word in distinct], np.int64)
-    order = sorted(range(len(distinct)), key=lambda i: (part[i], distinct[i]))
-    return flat, [distinct[i] for i in order], part[order]
+    distinct = flat.unique()
+    words = distinct.take(pc.sort_indices(distinct)).to_pylist()
+    part = np.array([zlib.crc32(word) % parts for word in words], np.int64)
+    order = np.argsort(part, kind="stable")
+    return flat, [words[i] for i in order.tolist()], part[order]
 
 
 def _bundles(parts: int):
@@ -92,6 +114,7 @@ def _bundles(parts: int):
             for p in range(parts)
             if cuts[p] < cuts[p + 1]
         ]
+        pa.default_memory_pool().release_unused()
         return pa.table(dict(zip(("part", "block", "size", "packed"), _columns(rows), strict=True)))
 
     return run
@@ -106,6 +129,7 @@ def _encode_part(ranks: bytes):
     def run(table: pa.Table) -> pa.Table:
         encode = _encoding(ranks).encode_ordinary
         known: dict[bytes, bytes] = {}
+        kind = _id_type(ranks)
         rows = []
         for part, block, size, packed in zip(
             *(table.column(c).to_pylist() for c in ("part", "block", "size", "packed")), strict=True
@@ -113,17 +137,18 @@ def _encode_part(ranks: bytes):
             words = unpack(size, packed)
             for word in words:
                 if word not in known:
-                    known[word] = np.array(encode(word.decode("utf-8")), "<u4").tobytes()
+                    known[word] = np.array(encode(word.decode("utf-8")), kind).tobytes()
             rows.append((part, block, *pack([known[word] for word in words])))
         return pa.table(dict(zip(("part", "block", "size", "packed"), _columns(rows), strict=True)))
 
     return run
 
 
-def _assemble(parts: int):
+def _assemble(parts: int, ranks: bytes, with_decoded: bool):
     def run(documents: pa.Table, replies: pa.Table) -> pa.Table:
         flat, words, _ = _block_words(documents, parts)
         replies = replies.sort_by("part")
+        kind = _id_type(ranks)
         ids = [
             word_ids
             for size, packed in zip(
@@ -132,20 +157,25 @@ def _assemble(parts: int):
             for word_ids in unpack(size, packed)
         ]
         place = pc.index_in(flat, pa.array(words, pa.binary())).to_numpy(zero_copy_only=False)
+        del flat, words
+        pa.default_memory_pool().release_unused()
         counts = pc.fill_null(pc.list_value_length(documents.column("words")), 0).to_numpy()
         ends = np.cumsum(counts)
-        sizes = np.array([len(x) // 4 for x in ids], np.int64)
-        n_tokens, joined = [], []
-        for low, high in zip(ends - counts, ends, strict=True):
-            own = place[low:high]
-            n_tokens.append(int(sizes[own].sum()))
-            joined.append(b"".join([ids[i] for i in own.tolist()]))
+        joined = [
+            np.frombuffer(b"".join([ids[i] for i in place[low:high].tolist()]), kind)
+            .astype("<u4")
+            .tobytes()
+            for low, high in zip(ends - counts, ends, strict=True)
+        ]
         return pa.table(
             {
                 "rid": documents.column("rid"),
                 "doc_id": documents.column("doc_id"),
-                "n_tokens": pa.array(n_tokens, pa.int64()),
+                "n_tokens": pa.array([len(x) // 4 for x in joined], pa.int64()),
                 "ids": pa.array(joined, pa.binary()),
+                "decoded": pa.array(
+                    [decode_ids(x, ranks) if with_decoded else None for x in joined], pa.binary()
+                ),
             }
         )
 
@@ -157,14 +187,7 @@ def pre_tokens(text):
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + public_tokenizers.PATTERN), F.lit(0))
 
 
-def encode(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
-    """``(rid, doc_id, n_tokens, ids)``, one row per row of ``docs``.
-
-    ``ids`` holds the token ids as little-endian unsigned 32-bit integers, as an
-    encoder of the whole text without special tokens gives them. A null or empty text
-    has no tokens. Repeated rows are encoded each; columns other than doc_id and text
-    are ignored; an empty table gives an empty result.
-    """
+def _encoded(docs: DataFrame, ranks_path: str | None, with_decoded: bool) -> DataFrame:
     ranks = read_ranks(ranks_path)
     rows = keyed(docs)
     blocks = row_blocks(rows, BLOCK_BYTES)
@@ -178,35 +201,50 @@ def encode(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
     return (
         split.groupBy("block")
         .cogroup(replies.groupBy("block"))
-        .applyInArrow(_assemble(tasks), ENCODED)
+        .applyInArrow(_assemble(tasks, ranks, with_decoded), ENCODED)
     )
 
 
+def encode(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
+    """``(rid, doc_id, n_tokens, ids)``, one row per row of ``docs``.
+
+    ``ids`` holds the token ids as little-endian unsigned 32-bit integers, as an
+    encoder of the whole text without special tokens gives them. A null or empty text
+    has no tokens. Repeated rows are encoded each; columns other than doc_id and text
+    are ignored; an empty table gives an empty result.
+    """
+    return _encoded(docs, ranks_path, False).drop("decoded")
+
+
 def decode(encoded: DataFrame, ranks_path: str | None = None) -> DataFrame:
     """All columns of a table with ``ids``, and ``decoded``, the bytes these stand for.
 
-    Null ids decode to no bytes; an id that is no token is an error.
+    Null ids decode to no bytes; an id that is no token is an error. A column
+    ``decoded`` of the input is replaced.
     """
     ranks = read_ranks(ranks_path)
+    encoded = encoded.drop("decoded")
     schema = encoded.select("*", F.lit(b"").alias("decoded")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_bytes = {rank: token for token, rank in tokens_of(ranks).items()}
         for batch in batches:
-            decoded = [
-                b"".join([token_bytes[i] for i in np.frombuffer(ids or b"", "<u4").tolist()])
-                for ids in batch.column("ids").to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(decoded, pa.binary())], schema.names
-            )
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                decoded = [decode_ids(ids, ranks) for ids in part.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(decoded, pa.binary())], schema.names
+                )
 
     return encoded.mapInArrow(run, schema)
 
 
 def round_trip(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``, one row per row of ``docs``."""
-    return decode(encode(docs, ranks_path), ranks_path).select(
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``, one row per row of ``docs``.
+
+    Encodes, and decodes the ids in the task that put them together: a second Python
+    worker per task would only hold them once more.
+    """
+    return _encoded(docs, ranks_path, True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
