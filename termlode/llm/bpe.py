@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from termlode.llm.common import keyed, row_blocks
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 
 
 _PACKED = "part long, block long, size long, packed binary"
