@@ -51,10 +51,14 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(spaced, " +", " "))
 
 
-def digest(text: Column) -> Column:
-    """Digest of the canonical form, null where that is empty."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form, 256))
+def with_digests(rows: DataFrame, texts: Column) -> DataFrame:
+    """One row per element of ``texts``, with the ``digest`` of its canonical form.
+
+    The digest is null where the form is empty. The form leaves a generator as a plain
+    column, so that a filter or join on the digest does not work it out again.
+    """
+    forms = rows.select("*", F.explode_outer(F.transform(texts, canonical)).alias("form"))
+    return forms.withColumn("digest", F.when(F.col("form") != "", F.sha2("form", 256))).drop("form")
 
 
 def known_digests(spark: SparkSession) -> DataFrame:
@@ -62,10 +66,8 @@ def known_digests(spark: SparkSession) -> DataFrame:
     rows = F.array(
         *(F.struct(F.lit(name).alias("license_id"), F.lit(text).alias("t")) for name, text in KNOWN)
     )
-    known = spark.range(1).select(F.inline(rows))
-    return known.groupBy(digest(F.col("t")).alias("digest")).agg(
-        F.min("license_id").alias("license_id")
-    )
+    known = with_digests(spark.range(1).select(F.inline(rows)), F.array("t"))
+    return known.groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -82,9 +84,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def scan_rows(rows: DataFrame) -> DataFrame:
     known = F.broadcast(known_digests(rows.sparkSession))
-    lines = rows.select("rid", F.explode(F.split("text", "\n")).alias("line")).select(
-        "rid", digest(F.col("line")).alias("digest")
-    )
+    lines = with_digests(rows.select("rid", "text"), F.split("text", "\n")).drop("text")
     notices = (
         lines.join(known, "digest")
         .groupBy("rid")
@@ -93,7 +93,7 @@ def scan_rows(rows: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("n_notices"),
         )
     )
-    whole = rows.select("rid", "doc_id", digest(F.col("text")).alias("digest"))
+    whole = with_digests(rows, F.array("text")).drop("text")
     return (
         whole.join(known, "digest", "left")
         .join(stored(notices, "notices"), "rid", "left")
