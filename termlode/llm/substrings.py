@@ -5,7 +5,7 @@ earlier in the corpus. Looking at every window is dear, so hashes of 8 words are
 the positions of a difference cover modulo 13 only: {0, 1, 3, 9} has every difference, so
 any two equal windows of 20 words have equal anchors at the same offset, wherever they
 start. Windows around an anchor that occurs once need no look. The others are extended to
-the full 20 words and compared by a 128-bit hash.
+the full 20 words and compared by a 96-bit hash.
 
 Documents are dealt into blocks. A block hands out each anchor and each window once, its
 first occurrence with it, and judges its own repeats itself, so the rows of the commonest
@@ -80,59 +80,61 @@ def _first_of_equal(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _block_windows(table: pa.Table, repeated: pa.Table) -> pa.Table:
-    """Windows around repeated anchors: hash, and the first place in the block."""
+    """Windows around repeated anchors: hash, and the first place in the block.
+
+    A place is the number of a word in the block, whose texts lie in the order of keys.
+    """
     table, texts = _texts(table)
     rids = table.column("rid").to_numpy()
     wanted = np.unique(repeated.column("anchor").to_numpy().view(np.uint64))
     parts = []
+    total = 0
     for low, words in _slices_of(texts):
         at, hashes = anchors(words)
         marked = np.zeros(len(words) + 1, np.int64)
-        marked[at + 1] = np.isin(hashes, wanted, assume_unique=False)
+        marked[at + 1] = np.isin(hashes, wanted)
         sums = np.cumsum(marked)
         begin = words.whole_windows(WINDOW_WORDS)
         begin = begin[sums[begin + PERIOD] > sums[begin]]
-        parts.append(
-            (
-                words.windows(WINDOW_WORDS, 0)[begin],
-                words.windows(WINDOW_WORDS, 1)[begin],
-                rids[low + words.row[begin]],
-                words.position[begin],
-            )
-        )
-    one, two, rid, position = (np.concatenate(x) for x in zip(*parts, strict=True))
+        one, two = _window_hashes(words, begin)
+        parts.append((one, two, rids[low + words.row[begin]], begin + total))
+        total += len(words)
+    one, two, rid, place = (np.concatenate(x) for x in zip(*parts, strict=True))
     first, _ = _first_of_equal(one, two)
-    block = table.column("block")[0].as_py()
     return pa.table(
         {
             "one": pa.array(one[first].view(np.int64)),
-            "two": pa.array(two[first].view(np.int64)),
+            "two": pa.array(two[first].view(np.int32)),
             "rid": pa.array(rid[first]),
-            "position": pa.array(position[first]),
-            "block": pa.array(np.full(len(first), block)),
+            "place": pa.array(place[first].astype(np.int32)),
         }
     )
 
 
+def _window_hashes(words: Words, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows at ``begin``, 64 bits and another 32."""
+    two = words.windows(WINDOW_WORDS, 1)[begin]
+    return words.windows(WINDOW_WORDS, 0)[begin], two.astype(np.uint32)
+
+
 def _block_cleaned(table: pa.Table, earlier: pa.Table) -> pa.Table:
     """Texts of a block without the words that a repeated window covers."""
     table, texts = _texts(table)
-    rids = table.column("rid").to_numpy()
     ones, twos, starts, counts = [], [], [], []
     total = 0
     for _, words in _slices_of(texts):
         begin = words.whole_windows(WINDOW_WORDS)
-        ones.append(words.windows(WINDOW_WORDS, 0)[begin])
-        twos.append(words.windows(WINDOW_WORDS, 1)[begin])
+        one, two = _window_hashes(words, begin)
+        ones.append(one)
+        twos.append(two)
         starts.append(begin + total)
         counts.append(words.counts)
         total += len(words)
     begin, counts = np.concatenate(starts), np.concatenate(counts)
     first_word = np.cumsum(counts) - counts
     _, later = _first_of_equal(np.concatenate(ones), np.concatenate(twos))
-    row = np.searchsorted(rids, earlier.column("rid").to_numpy())
     edges = np.zeros(total + WINDOW_WORDS + 1, np.int64)
-    for at in (begin[later], first_word[row] + earlier.column("position").to_numpy()):
+    for at in (begin[later], earlier.column("place").to_numpy()):
         np.add.at(edges, at, 1)
         np.add.at(edges, at + WINDOW_WORDS, -1)
     keep = np.cumsum(edges)[:total] == 0
@@ -169,9 +171,8 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     rows = keyed(docs)
     blocks = row_blocks(rows, BLOCK_BYTES)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("rid"), F.lit(blocks))).repartition(
-        tasks, "block"
-    )
+    block = F.pmod(F.xxhash64("rid"), F.lit(blocks)).alias("block")
+    dealt = rows.select("*", block).repartition(tasks, "block")
     found = dealt.groupBy("block").applyInArrow(
         _block_anchors, "anchor long, block long, again boolean"
     )
@@ -184,13 +185,11 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     windows = (
         dealt.groupBy("block")
         .cogroup(repeated.groupBy("block"))
-        .applyInArrow(_block_windows, "one long, two long, rid long, position long, block long")
+        .applyInArrow(_block_windows, "one long, two int, rid long, place int")
     )
-    order = Window.partitionBy("one", "two").orderBy("rid", "position")
+    order = Window.partitionBy("one", "two").orderBy("rid", "place")
     earlier = (
-        windows.withColumn("n", F.row_number().over(order))
-        .where("n > 1")
-        .select("block", "rid", "position")
+        windows.withColumn("n", F.row_number().over(order)).where("n > 1").select(block, "place")
     )
     return (
         dealt.groupBy("block")
