@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +28,15 @@ from termlode.llm.common import documents_of
 SAMPLE_ROWS = 48
 ROW_BYTES = 4096
 LANGUAGE_BYTES = 32_000
+
+# A phrase of a smaller sample costs as many bits as one of this size. Else a sample of a
+# few bytes would be the cheapest for any text, as its phrases cost next to nothing.
+LEAST_BYTES = 4096
+
+# So many languages share a transition table. More are several tables, each built anew for
+# every so many bytes of text, as only one is in memory at a time.
 MOST_LANGUAGES = 64
+GROUP_BYTES = 32_000_000
 
 # A document is parsed in stretches of this many bytes; a phrase ends with its stretch.
 # That bounds the steps of a batch, which all stretches and languages take together.
@@ -38,11 +47,19 @@ UNDETERMINED = "und"
 PREDICTED = "rid long, lang_pred string, score double"
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
+# To a regular expression a numeral such as ½ or Ⅷ is a word character.
+_NUMERALS = {
+    ord(c): " " for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha()
+}
+_RARE = frozenset(map(chr, _NUMERALS))
 
 
 def letters_only(text: str | None) -> bytes:
     """Lower-cased letters, each run of anything else being one blank."""
-    return _NOT_LETTERS.sub(" ", text or "").lower().strip().encode("utf-8", "ignore")
+    text = text or ""
+    if not text.isascii() and not _RARE.isdisjoint(text):
+        text = text.translate(_NUMERALS)
+    return _NOT_LETTERS.sub(" ", text).lower().strip().encode("utf-8", "ignore")
 
 
 def suffix_automaton(text: bytes) -> list[dict[int, int]]:
@@ -76,7 +93,7 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
     return follow
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _tables(samples: tuple[bytes, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One transition table for all languages, the symbol of each byte, the start states.
 
@@ -134,27 +151,27 @@ def training_sample(docs: DataFrame) -> dict[str, bytes]:
     """Language to training text, from the labelled rows that are not held out.
 
     Rows come in the order of a hash of their id; at most ``SAMPLE_ROWS`` rows a
-    language leave the cluster, ``ROW_BYTES`` characters of each.
+    language leave the cluster, ``ROW_BYTES`` characters of each. They come one partition
+    at a time, and no more than ``LANGUAGE_BYTES`` of a language are kept.
     """
+    # A row counts from its first letter on.
+    text = F.regexp_replace("text", r"^\P{L}+", "")
     labelled = docs.where(
         (F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
         & F.col("lang").isNotNull()
         & F.col("text").rlike(r"\p{L}")
-    ).select("lang", F.left("text", F.lit(ROW_BYTES)).alias("text"), F.xxhash64("doc_id").alias("o"))
+    ).select("lang", F.left(text, F.lit(ROW_BYTES)).alias("text"), F.xxhash64("doc_id").alias("o"))
     first = Window.partitionBy("lang").orderBy("o", "text")
     rows = (
         labelled.withColumn("n", F.row_number().over(first))
         .where(F.col("n") <= SAMPLE_ROWS)
         .orderBy("lang", "n")
-        .limit(MOST_LANGUAGES * SAMPLE_ROWS + 1)
-        .collect()
     )
-    if len({row["lang"] for row in rows}) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
-    texts: dict[str, list[bytes]] = {}
-    for row in rows:
-        texts.setdefault(row["lang"], []).append(letters_only(row["text"]))
-    return {lang: b" ".join(parts)[:LANGUAGE_BYTES] for lang, parts in texts.items()}
+    samples: dict[str, bytes] = {}
+    for row in rows.toLocalIterator():
+        known, more = samples.get(row["lang"], b""), letters_only(row["text"])
+        samples[row["lang"]] = (known + b" " + more if known else more)[:LANGUAGE_BYTES]
+    return {lang: sample for lang, sample in samples.items() if sample}
 
 
 def predict(text_list: list[str | None], model: dict[str, bytes]) -> list[tuple[str, float]]:
@@ -167,8 +184,14 @@ def predict(text_list: list[str | None], model: dict[str, bytes]) -> list[tuple[
     names = sorted(model)
     if not names:
         return [(UNDETERMINED, 0.0)] * len(texts)
-    phrases = count_phrases(texts, tuple(model[name] for name in names))
-    bits = phrases * np.array([math.log2(len(model[name]) + 1) for name in names])
+    phrases = np.hstack(
+        [
+            count_phrases(texts, tuple(model[name] for name in names[low : low + MOST_LANGUAGES]))
+            for low in range(0, len(names), MOST_LANGUAGES)
+        ]
+    )
+    sizes = [max(len(model[name]), LEAST_BYTES) for name in names]
+    bits = phrases * np.array([math.log2(size + 1) for size in sizes])
     best = bits.argmin(axis=1)
     ordered = np.sort(bits, axis=1)
     found = []
@@ -182,6 +205,24 @@ def predict(text_list: list[str | None], model: dict[str, bytes]) -> list[tuple[
     return found
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, 1000):
+            yield batch.slice(low, 1000)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Slices put together up to about ``GROUP_BYTES`` each."""
+    held: list[pa.RecordBatch] = []
+    for part in _slices(batches):
+        held.append(part)
+        if sum(x.nbytes for x in held) >= GROUP_BYTES:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def identify(docs: DataFrame, model: dict[str, bytes] | None = None) -> DataFrame:
     """All columns of ``docs`` with ``held_out``, ``lang_pred`` and ``score`` added.
 
@@ -196,19 +237,20 @@ def identify(docs: DataFrame, model: dict[str, bytes] | None = None) -> DataFram
     known = docs.drop("held_out", "lang_pred", "score")
     schema = known.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
+    many = len(model) > MOST_LANGUAGES
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 1000):
-                part = batch.slice(low, 1000)
-                found = predict(part.column("text").to_pylist(), model)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *part.columns,
-                        pa.array([name for name, _ in found], pa.string()),
-                        pa.array([score for _, score in found], pa.float64()),
-                    ],
-                    schema.names,
-                )
+        for part in _groups(batches) if many else _slices(batches):
+            found = predict(part.column("text").to_pylist(), model)
+            whole = pa.table(
+                [
+                    *part.columns,
+                    pa.array([name for name, _ in found], pa.string()),
+                    pa.array([score for _, score in found], pa.float64()),
+                ],
+                schema.names,
+            )
+            yield from whole.to_batches(max_chunksize=1000)
 
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     return known.mapInArrow(run, schema).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
