@@ -77,6 +77,7 @@ class ItemIndex:
     ids: list
     terms: np.ndarray  # sorted word hashes
     longest: int
+    sizes: list  # words of each item
     item_first: np.ndarray  # postings of a term: items and weights
     item_of: np.ndarray
     item_weight: np.ndarray
@@ -128,6 +129,7 @@ def build_item_index(items: list[tuple[object, str | None]]) -> ItemIndex | None
         ids=[i for i, _, _ in worded],
         terms=terms,
         longest=int(lengths.max()),
+        sizes=lengths.tolist(),
         item_first=np.searchsorted(row, edges),
         item_of=column,
         item_weight=weight,
@@ -193,8 +195,44 @@ def retrieve(words: Words, index: ItemIndex) -> list[tuple[int, int, int, float]
     return list(zip(text.tolist(), begin.tolist(), item.tolist(), score[found].tolist(), strict=True))
 
 
+def best_window(
+    runs: np.ndarray, hashes: np.ndarray, size: int, question: np.ndarray, answer: np.ndarray, words: int
+) -> tuple[float, float]:
+    """Question and answer overlap of the best stretch of ``words`` words.
+
+    ``runs`` are the hashes of the runs of ``size`` words that begin at each word. Best is
+    the stretch with the largest smaller overlap, then the largest sum, then the first.
+    Only stretches that end with a wanted word or run are counted; no other has more.
+    """
+    whole = max(0, len(hashes) - size + 1)
+    begins = np.flatnonzero(np.isin(runs[:whole], question))
+    says = np.flatnonzero(np.isin(hashes, answer))
+    places = np.unique(np.concatenate([begins + size - 1, says]))
+    if not len(places) or not len(begins):
+        return 0.0, 0.0
+    best = (-1.0, 0.0, 0.0, 0.0)
+    last_run = np.full(len(question), -1)
+    last_word = np.full(len(answer), -1)
+    run_no = dict(zip(question.tolist(), range(len(question)), strict=True))
+    word_no = dict(zip(answer.tolist(), range(len(answer)), strict=True))
+    for end in places.tolist():
+        first = end - words + 1
+        at = end - size + 1
+        if at >= 0 and (k := run_no.get(int(runs[at]))) is not None:
+            last_run[k] = at
+        if (k := word_no.get(int(hashes[end]))) is not None:
+            last_word[k] = end
+        asked = float((last_run >= max(first, 0)).mean())
+        answered = float((last_word >= max(first, 0)).mean()) if len(answer) else 1.0
+        best = max(best, (min(asked, answered), asked + answered, asked, answered))
+    return best[2], best[3]
+
+
 def verified(words: Words, index: ItemIndex) -> dict[tuple[int, int], tuple[float, float, float]]:
-    """``(text, item)`` to score, question and answer overlap, for what is verified."""
+    """``(text, item)`` to score, question and answer overlap, for what is verified.
+
+    Question and answer must lie within as many words as the item has, anywhere in the text.
+    """
     hashes = words.hashes()
     windows: dict[int, np.ndarray] = {}
     best: dict[tuple[int, int], tuple[float, float, float]] = {}
@@ -203,11 +241,17 @@ def verified(words: Words, index: ItemIndex) -> dict[tuple[int, int], tuple[floa
         size, question = index.questions[item]
         if size not in windows:
             windows[size] = words.windows(size, hashes=hashes)
-        asked = np.isin(question, windows[size][begin : max(begin, end - size + 1)]).mean()
         answer = index.answers[item]
+        # What the whole passage does not hold, none of its stretches does.
+        asked = np.isin(question, windows[size][begin : max(begin, end - size + 1)]).mean()
         answered = np.isin(answer, hashes[begin:end]).mean() if len(answer) else 1.0
+        if min(asked, answered) * 100 < OVERLAP_PERCENT - 1e-9:
+            continue
+        asked, answered = best_window(
+            windows[size][begin:end], hashes[begin:end], size, question, answer, index.sizes[item]
+        )
         if min(asked, answered) * 100 >= OVERLAP_PERCENT - 1e-9:
-            found = (score, float(asked), float(answered))
+            found = (score, asked, answered)
             best[text, item] = max(best.get((text, item), found), found)
     return best
 
