@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlode.llm.common import keyed, keyed_rows, stored, with_key, without
-from termlode.llm.license_texts import KNOWN
+from termlode.llm.license_texts import FULL_TEXTS, KNOWN, NOTICES
 
 # Spellings that licence matching treats as equal, the second is kept.
 EQUIVALENT = (
@@ -63,10 +63,13 @@ def with_digests(rows: DataFrame, texts: Column) -> DataFrame:
 
 def known_digests(spark: SparkSession) -> DataFrame:
     """``(license_id, digest)`` of the known texts, one row per digest."""
-    rows = F.array(
-        *(F.struct(F.lit(name).alias("license_id"), F.lit(text).alias("t")) for name, text in KNOWN)
-    )
-    known = with_digests(spark.range(1).select(F.inline(rows)), F.array("t"))
+
+    def rows(pairs: tuple[tuple[str, str], ...], column: str) -> DataFrame:
+        structs = (F.struct(F.lit(a).alias("license_id"), F.lit(b).alias(column)) for a, b in pairs)
+        return spark.range(1).select(F.inline(F.array(*structs)))
+
+    known = with_digests(rows((*KNOWN, *NOTICES), "t"), F.array("t")).drop("t")
+    known = known.unionByName(rows(FULL_TEXTS, "digest"))
     return known.groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
