@@ -7,15 +7,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import termlode as tl  # noqa: E402
-
-CORPUS = [
-    ("c1/001.txt", "c1", "Red fox, red dog.\n\nFox-hunt & dog!\n"),
-    ("c1/002.txt", "c1", "Blue dog\n"),
-    ("c1/003.txt", "c1", "red_fox's DOG - cat \"cat\" 'x' ."),
-    ("c1/004.txt", "c1", "Blue dog\n"),
-    ("c2/001.txt", "c2", "Red £5 café"),
-]
-SF_DIR = "/root/testdata/sf0.001"
+from helpers import CORPUS, SF_DIR, make_docs  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -34,12 +26,6 @@ def spark():
     session.stop()
 
 
-def make_docs(spark, rows):
-    return spark.createDataFrame(rows, "file string, collection string, text string").select(
-        "collection", "file", "text"
-    )
-
-
 @pytest.fixture(scope="session")
 def docs(spark):
     return make_docs(spark, CORPUS).cache()
@@ -59,19 +45,3 @@ def real_docs(spark):
 @pytest.fixture(scope="session")
 def real_index(real_docs):
     return tl.build_index(real_docs).cache()
-
-
-def rows(frame, *columns):
-    """Sorted tuples of a frame, doubles rounded to six places."""
-    picked = frame.select(*columns) if columns else frame
-    return sorted(
-        (
-            tuple(round(v, 6) if isinstance(v, float) else v for v in row)
-            for row in picked.collect()
-        ),
-        key=repr,
-    )
-
-
-def plan(frame):
-    return frame._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_DIR
+from helpers import SF_DIR
 
 TABLES = ("benchmark", "documents", "pages")
 

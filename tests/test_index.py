@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import termlode as tl
-from conftest import make_docs, rows
+from helpers import make_docs, rows
 from termlode.operators.skew import join_by_frequency
 
 EXPECTED = sorted(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import termlode as tl
-from conftest import SF_DIR, plan
+from helpers import SF_DIR, plan
 
 
 @pytest.fixture(scope="module")

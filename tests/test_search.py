@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import termlode as tl
-from conftest import rows
+from helpers import rows
 from termlode.plans.search import hits
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import termlode as tl
-from conftest import CORPUS, make_docs, plan, rows
+from helpers import CORPUS, make_docs, plan, rows
 from termlode.sources import store
 
 

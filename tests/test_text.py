@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import termlode as tl
-from conftest import make_docs
+from helpers import make_docs
 from termlode.functions import clean, doc_name, strip_prefix, word_array, word_counts
 from termlode.functions.text import WHITESPACE
 
