@@ -16,6 +16,7 @@ from termlode.llm import (
     near_dedup,
     substrings,
     token_counts,
+    whitening,
 )
 
 
@@ -73,6 +74,10 @@ def op10_decontamination(spark, sf_dir):
     )
 
 
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -84,6 +89,7 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontamination": op10_decontamination,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 ORACLES = {
