@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlode.llm import (
+    alignment,
     bpe,
     decontaminate,
     exact_dedup,
@@ -74,6 +75,10 @@ def op10_decontamination(spark, sf_dir):
     )
 
 
+def op11_tokenizer_alignment(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op12_embedding_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -89,6 +94,7 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_embedding_whitening": op12_embedding_whitening,
 }
 
