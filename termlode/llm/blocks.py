@@ -73,3 +73,30 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     ends = np.cumsum(counts)
     total = int(ends[-1]) if len(ends) else 0
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
+
+
+_ZSTD = pa.Codec("zstd", compression_level=3)
+
+
+def squeeze(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers from 0 on, each in its narrowest type, compressed."""
+    parts = [np.array([len(arrays), *map(len, arrays)], "<i8").tobytes()]
+    for array in arrays:
+        largest = int(array.max()) if len(array) else 0
+        kind = next(k for k, bits in (("<u1", 8), ("<u2", 16), ("<u4", 32), ("<u8", 64)) if largest >> bits == 0)
+        parts += [kind.encode(), np.ascontiguousarray(array).astype(kind).tobytes()]
+    data = b"".join(parts)
+    return len(data).to_bytes(8, "little") + _ZSTD.compress(data, asbytes=True)
+
+
+def expand(data: bytes) -> list[np.ndarray]:
+    """The arrays of :func:`squeeze`, as 64-bit numbers."""
+    size = int.from_bytes(data[:8], "little")
+    data = _ZSTD.decompress(data[8:], decompressed_size=size, asbytes=True)
+    number = int(np.frombuffer(data, "<i8", 1)[0])
+    at, arrays = 8 * (number + 1), []
+    for length in np.frombuffer(data, "<i8", number, 8).tolist():
+        kind = np.dtype(data[at : at + 3].decode())
+        arrays.append(np.frombuffer(data, kind, length, at + 3).astype(np.int64))
+        at += 3 + length * kind.itemsize
+    return arrays

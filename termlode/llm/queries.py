@@ -12,6 +12,7 @@ from termlode.llm import (
     exact_dedup,
     html_text,
     language,
+    language_model,
     licenses,
     line_templates,
     near_dedup,
@@ -83,6 +84,10 @@ def op12_embedding_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_lm_scoring(spark, sf_dir):
+    return language_model.learn_and_score(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -96,6 +101,7 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_lm_scoring": op13_lm_scoring,
 }
 
 ORACLES = {
