@@ -72,9 +72,13 @@ def _hadoop(spark: SparkSession, path: str, action):
     return action(where.getFileSystem(context._jsc.hadoopConfiguration()), where)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return _hadoop(spark, path, lambda system, where: system.exists(where))
+
+
 def stored_collections(spark: SparkSession, path: str) -> set[str]:
     """Names of the collections of a store; none where there is no store yet."""
-    if not _hadoop(spark, path, lambda system, where: system.exists(where)):
+    if not path_exists(spark, path):
         return set()
     names = spark.read.schema("word string, collection string").orc(path).select("collection")
     return {row[0] for row in names.distinct().collect()}
@@ -86,7 +90,7 @@ def write_index(
     mode: str = "errorifexists",
     collections: DataFrame | None = None,
 ) -> None:
-    """Write the index as ORC, one directory per collection, sorted by word.
+    """Write the index as ORC, one directory per collection, sorted by word and file.
 
     Other collections of the store are left alone. ``errorifexists`` refuses a
     collection that is there, ``overwrite`` replaces it; there is no appending to one.
@@ -107,7 +111,7 @@ def write_index(
         raise ValueError(f"already in {path}: {', '.join(sorted(clash))}")
     (
         index.select(*INDEX_COLUMNS)
-        .sortWithinPartitions("collection", "word")
+        .sortWithinPartitions("collection", "word", "file")
         .write.mode("append" if mode == "errorifexists" else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("orc.bloom.filter.columns", "word")
