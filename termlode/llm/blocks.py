@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,24 +80,47 @@ _ZSTD = pa.Codec("zstd", compression_level=3)
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
-    """Arrays of numbers from 0 on, each in its narrowest type, compressed."""
+    """Arrays of numbers from 0 on, each in its narrowest type, compressed.
+
+    The first bytes of all numbers come first, then all second bytes: most are alike.
+    """
     parts = [np.array([len(arrays), *map(len, arrays)], "<i8").tobytes()]
     for array in arrays:
         largest = int(array.max()) if len(array) else 0
-        kind = next(k for k, bits in (("<u1", 8), ("<u2", 16), ("<u4", 32), ("<u8", 64)) if largest >> bits == 0)
-        parts += [kind.encode(), np.ascontiguousarray(array).astype(kind).tobytes()]
+        size = max(1, -(-largest.bit_length() // 8))
+        planes = np.ascontiguousarray(array).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]
+        parts += [bytes([size]), planes.T.tobytes()]
     data = b"".join(parts)
     return len(data).to_bytes(8, "little") + _ZSTD.compress(data, asbytes=True)
 
 
 def expand(data: bytes) -> list[np.ndarray]:
     """The arrays of :func:`squeeze`, as 64-bit numbers."""
-    size = int.from_bytes(data[:8], "little")
-    data = _ZSTD.decompress(data[8:], decompressed_size=size, asbytes=True)
+    length = int.from_bytes(data[:8], "little")
+    data = _ZSTD.decompress(data[8:], decompressed_size=length, asbytes=True)
     number = int(np.frombuffer(data, "<i8", 1)[0])
     at, arrays = 8 * (number + 1), []
-    for length in np.frombuffer(data, "<i8", number, 8).tolist():
-        kind = np.dtype(data[at : at + 3].decode())
-        arrays.append(np.frombuffer(data, kind, length, at + 3).astype(np.int64))
-        at += 3 + length * kind.itemsize
+    for n in np.frombuffer(data, "<i8", number, 8).tolist():
+        size = data[at]
+        values = np.zeros((n, 8), np.uint8)
+        values[:, :size] = np.frombuffer(data, np.uint8, n * size, at + 1).reshape(size, n).T
+        arrays.append(values.view("<i8").ravel())
+        at += 1 + n * size
     return arrays
+
+
+def give_back() -> None:
+    """Hand free memory of a Python worker, which lives on between tasks, to the system."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return None
+
+
+_TRIM = _trim()
