@@ -26,6 +26,8 @@ REPEATED_QUERY = "ention onthe onthe of"
 COMPAT_QUERY = "the ention nosuchword"
 COLLECTION = "en"
 PART_ROWS = 100
+COMMON_ROWS = 256
+ADDITIONS = 3
 
 
 # --- inputs -----------------------------------------------------------------------
@@ -226,6 +228,58 @@ def _search(query, collection=None, **options):
     return run
 
 
+def _search_bounded(n, collection=None):
+    """Top n of a stored index whose common words are kept in classes of weight too."""
+
+    def run(spark, sf_dir):
+        path, impacts = tl.scratch_path(spark, "index"), tl.scratch_path(spark, "impacts")
+        tl.index_corpus(_docs(spark, sf_dir), path)
+        index = tl.load_index(spark, path, file_type="bigint")
+        tl.write_impacts(index, impacts, COMMON_ROWS)
+        loaded = tl.load_impacts(spark, impacts, file_type="bigint")
+        return _rounded(tl.search_top(index, loaded, QUERY, n, collection))
+
+    return run
+
+
+def search_word_files_top5(spark, sf_dir):
+    """Top 5 from the files of the query's words, looked up in the stored vocabulary."""
+    path, vocab = tl.scratch_path(spark, "index"), tl.scratch_path(spark, "vocabulary")
+    tl.index_corpus(_docs(spark, sf_dir), path, vocab_path=vocab)
+    words = tl.query_words(QUERY)
+    return _rounded(
+        tl.search(tl.load_words(spark, path, vocab, words, file_type="bigint"), QUERY, 5)
+    )
+
+
+def _grown(spark, sf_dir):
+    """A store to which the documents were added in several lots."""
+    path = tl.scratch_path(spark, "growing")
+    docs = _docs(spark, sf_dir)
+    for lot in range(ADDITIONS):
+        tl.add_documents(docs.where(F.pmod(F.xxhash64("file"), F.lit(ADDITIONS)) == lot), path)
+    return path
+
+
+def growing_index(spark, sf_dir):
+    return _rounded(tl.load_growing(spark, _grown(spark, sf_dir), file_type="bigint"))
+
+
+def growing_vocabulary(spark, sf_dir):
+    words = tl.growing_vocabulary(spark, _grown(spark, sf_dir))
+    return _rounded(words.select("collection", "word", "df", "idf"))
+
+
+def growing_norms(spark, sf_dir):
+    return _rounded(tl.growing_norms(spark, _grown(spark, sf_dir), file_type="bigint"))
+
+
+def growing_search_top5(spark, sf_dir):
+    path, words = _grown(spark, sf_dir), tl.query_words(QUERY)
+    index = tl.load_growing(spark, path, words=words, file_type="bigint")
+    return _rounded(tl.search(index, QUERY, 5))
+
+
 def search_batch_topk(spark, sf_dir):
     return _rounded(tl.search_batch(_index(spark, sf_dir), _query_set(spark, sf_dir)))
 
@@ -345,6 +399,14 @@ def text_search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         "search_scores_compat": _search(COMPAT_QUERY, compat=True),
         "search_repeated_terms": _search(REPEATED_QUERY),
         "search_in_collection": _search(QUERY, n=10, collection=COLLECTION),
+        "search_bounded_top1": _search_bounded(1),
+        "search_bounded_top5": _search_bounded(5),
+        "search_bounded_in_collection": _search_bounded(10, COLLECTION),
+        "search_word_files_top5": search_word_files_top5,
+        "growing_index": growing_index,
+        "growing_vocabulary": growing_vocabulary,
+        "growing_norms": growing_norms,
+        "growing_search_top5": growing_search_top5,
         "search_batch_topk": search_batch_topk,
         "search_batch_compat": search_batch_compat,
         "search_batch_collections": search_batch_collections,
@@ -482,6 +544,13 @@ def text_search_oracles() -> dict[str, str]:
         "search_top5": _search_sql(QUERY, 5),
         "search_repeated_terms": _search_sql(REPEATED_QUERY),
         "search_in_collection": _search_sql(QUERY, 10, f"WHERE collection = '{COLLECTION}'"),
+        "search_bounded_top1": _search_sql(QUERY, 1),
+        "search_bounded_top5": _search_sql(QUERY, 5),
+        "search_bounded_in_collection": _search_sql(
+            QUERY, 10, f"WHERE collection = '{COLLECTION}'"
+        ),
+        "search_word_files_top5": _search_sql(QUERY, 5),
+        "growing_search_top5": _search_sql(QUERY, 5),
         "search_scores_compat": _with(
             f"""SELECT collection, file, round(score, 6) AS score FROM (
     SELECT collection, file, sum(tf_idf) * (count(word)::DOUBLE / max(total)) AS score
@@ -557,6 +626,12 @@ GROUP BY ALL"""
         "tf_raw": _with('SELECT collection, file, word, "count"::DOUBLE AS tf FROM counts'),
         "doc_freq": _with("SELECT collection, word, df FROM freqs"),
         "idf": _with("SELECT collection, word, df, round(idf, 6) AS idf FROM idfs"),
+        "growing_index": _with(_INDEX_SELECT),
+        "growing_vocabulary": _with("SELECT collection, word, df, round(idf, 6) AS idf FROM idfs"),
+        "growing_norms": _with(
+            """SELECT collection, file, round(coalesce(sqrt(sum(tf_idf * tf_idf)), 0), 6) AS norm
+FROM lengths LEFT JOIN entries USING (collection, file) GROUP BY collection, file"""
+        ),
         "idf_flipped": _with(
             """SELECT collection, word, df, round(ln(df::DOUBLE / n_docs), 6) AS idf
 FROM freqs JOIN sizes USING (collection)"""

@@ -17,6 +17,9 @@ from termlode.plans.search import coordinated_score, rank_order
 from termlode.sources.corpus import in_collection
 from termlode.sources.store import stored
 
+# Up to so many collections named by queries are handed to the reader.
+MOST_SCOPES = 1000
+
 # Query terms of up to this many bytes of text in all are broadcast.
 BROADCAST_BYTES = 2 << 20
 
@@ -63,6 +66,28 @@ def _matches(searched: DataFrame, terms: DataFrame, broadcast: bool, slice_rows:
     ).drop("entries")
 
 
+def _asked_for(index: DataFrame, terms: DataFrame, broadcast_keys: int) -> DataFrame:
+    """Index entries of words that are asked for in their collection.
+
+    If every text names its collection and these are few, no other is read. A word that is
+    asked for in one collection is not taken from the others.
+    """
+    scopes = terms.select("scope").distinct().limit(MOST_SCOPES + 1).collect()
+    names = sorted(row["scope"] for row in scopes)
+    if names in ([], [""]):
+        return among(index, terms.select("word").distinct(), "word", broadcast_keys)
+    if "" not in names and len(names) <= MOST_SCOPES:
+        index = index.where(F.col("collection").isin(names))
+    asked = terms.select("scope", F.col("word").alias("asked")).distinct()
+    few = asked.limit(broadcast_keys + 1).count() <= broadcast_keys
+    return index.join(
+        F.broadcast(asked) if few else asked,
+        (F.col("word") == F.col("asked"))
+        & ((F.col("scope") == "") | (F.col("scope") == F.col("collection"))),
+        "left_semi",
+    )
+
+
 def search_batch(
     index: DataFrame,
     queries: DataFrame,
@@ -120,9 +145,7 @@ def search_batch(
         F.size("words").alias("total_words"),
         F.explode(F.array_distinct("words")).alias("word"),
     )
-    searched = among(
-        in_collection(index, collection), terms.select("word").distinct(), "word", broadcast_keys
-    )
+    searched = _asked_for(in_collection(index, collection), terms, broadcast_keys)
     matched = _matches(searched, terms, text_bytes <= broadcast_bytes, slice_rows).where(
         "scope IN ('', collection)"
     )

@@ -148,33 +148,38 @@ def build_index(
     )
 
 
-def place_words(vocab: StoredVocabulary) -> StoredVocabulary:
+def place_words(words: DataFrame) -> StoredVocabulary:
     """Add ``begin``, the number of index entries of all words before, in (collection, word) order.
 
     df says how many entries a word has, so the place of every entry in the ordered
-    index is known before it exists and no sample of it is taken. Words are summed
-    within ranges first; the ranges are as many as shuffle partitions.
+    index is known before it exists and no sample of it is taken. The vocabulary is
+    written once, in ranges of words. The entries of whole ranges, as many as shuffle
+    partitions, are summed by the driver; those before a word in its own range are summed
+    when the table is read, which keeps its known size for the planner.
     """
     ordered = stored(
-        vocab.frame.repartitionByRange("collection", "word").withColumn(
-            "_range", F.spark_partition_id()
-        ),
-        "ordered",
+        words.repartitionByRange("collection", "word").withColumn("_range", F.spark_partition_id()),
+        "vocabulary",
     )
-    inside = Window.partitionBy("_range").orderBy("collection", "word")
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ordered.groupBy("_range").agg(F.sum("df").alias("_entries"))
-    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranges.select(
-        "_range", F.coalesce(F.sum("_entries").over(above), F.lit(0)).alias("_offset")
+    ranges = (
+        ordered.groupBy("_range")
+        .agg(F.sum("df").alias("entries"), F.max("df").alias("largest"))
+        .orderBy("_range")
+        .collect()
     )
-    placed = (
-        ordered.withColumn("_begin", F.coalesce(F.sum("df").over(before), F.lit(0)))
-        .join(F.broadcast(offsets), "_range")
-        .withColumn("begin", F.col("_begin") + F.col("_offset"))
-        .drop("_range", "_begin", "_offset")
+    offsets = {row["_range"]: 0 for row in ranges}
+    total = 0
+    for row in ranges:
+        offsets[row["_range"]], total = total, total + row["entries"]
+    above = F.lit([offsets.get(number, 0) for number in range(max(offsets, default=0) + 1)])
+    before = (
+        Window.partitionBy("_range")
+        .orderBy("collection", "word")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return StoredVocabulary(stored(placed, "placed"), vocab.total_rows, vocab.largest)
+    inside = F.coalesce(F.sum("df").over(before), F.lit(0))
+    placed = ordered.withColumn("begin", inside + F.get(above, F.col("_range"))).drop("_range")
+    return StoredVocabulary(placed, total, max((row["largest"] for row in ranges), default=0))
 
 
 def index_corpus(
@@ -195,10 +200,11 @@ def index_corpus(
     commoner word are dealt over several files by ``file``. Collections may be added to
     a store one after the other; see :func:`write_index` for ``mode``. ``norms_path``
     also stores the norm of every document, 0 for one without entries, and
-    ``vocab_path`` the vocabulary, from which :func:`cosine` scores without reading
-    more of the index than the query's words. Other options as in :func:`build_index`.
+    ``vocab_path`` the vocabulary with the files of each word, from which :func:`cosine`
+    scores without reading more of the index than the query's words, and
+    :func:`load_words` opens no other files. Other options as in :func:`build_index`.
     """
-    vocab = place_words(store_vocabulary(docs, normalizer, drop_empty, flipped_idf))
+    vocab = place_words(vocabulary(docs, normalizer, drop_empty, flipped_idf))
     counts = _with_vocabulary(
         docs, [tf_column(tf).alias("tf")], normalizer, drop_empty, None, flipped_idf, vocab, False
     )
@@ -213,7 +219,16 @@ def index_corpus(
     files = max(1, -(-vocab.total_rows // file_rows))
     write_index(entries.repartitionById(files, "_file"), path, mode, collections=vocab.frame)
     if vocab_path is not None:
-        write_beside(vocab.frame.select(*WORD_KEY, "df", "n_docs", "idf"), vocab_path)
+        file_of = [
+            F.floor((F.col("begin") + end) / F.lit(file_rows)).cast("int").alias(name)
+            for name, end in (("first_file", F.lit(0)), ("last_file", F.col("df") - 1))
+        ]
+        write_beside(
+            vocab.frame.select(*WORD_KEY, "df", "n_docs", "idf", *file_of).sortWithinPartitions(
+                *WORD_KEY
+            ),
+            vocab_path,
+        )
     if norms_path is not None:
         names = [row[0] for row in vocab.frame.select("collection").distinct().collect()]
         kind = docs.schema["file"].dataType.simpleString()

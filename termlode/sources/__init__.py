@@ -11,6 +11,7 @@ from termlode.sources.store import (
     load_index,
     load_norms,
     load_vocabulary,
+    load_words,
     scratch_path,
     stored_collections,
     warm,
@@ -28,6 +29,7 @@ __all__ = [
     "load_index",
     "load_norms",
     "load_vocabulary",
+    "load_words",
     "read_corpus",
     "scratch_path",
     "spread",

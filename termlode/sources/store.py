@@ -5,12 +5,17 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from termlode.sources.corpus import in_collection
 
+# Files of the words of a query are looked up for so many ranges of them at most.
+MOST_RANGES = 10_000
+
 INDEX_COLUMNS = ("collection", "word", "file", "idf", "tf_idf")
 
 _made: list[str] = []
@@ -137,6 +142,53 @@ def load_index(
     return index.persist(StorageLevel.MEMORY_AND_DISK) if cache else index
 
 
+def word_files(
+    spark: SparkSession, vocab_path: str, words: Sequence[str], collection: str | None = None
+) -> list[int] | None:
+    """Numbers of the files that hold the words, from the vocabulary of the store.
+
+    They are ranges, one per word and collection, and come to the driver as such; None if
+    there are more than ``MOST_RANGES``, where looking files up is no saving.
+    """
+    schema = "word string, first_file int, last_file int, collection string"
+    known = in_collection(spark.read.schema(schema).parquet(vocab_path), collection)
+    ranges = (
+        known.where(F.col("word").isin(sorted(set(words))))
+        .select("first_file", "last_file")
+        .distinct()
+        .limit(MOST_RANGES + 1)
+        .collect()
+    )
+    if len(ranges) > MOST_RANGES or sum(b - a for a, b in ranges) > MOST_RANGES:
+        return None
+    return sorted({number for first, last in ranges for number in range(first, last + 1)})
+
+
+def load_words(
+    spark: SparkSession,
+    path: str,
+    vocab_path: str,
+    words: Sequence[str],
+    collection: str | None = None,
+    file_type: str = "string",
+) -> DataFrame:
+    """The entries of some words, reading the files that hold them and no footer of another.
+
+    ``path`` and ``vocab_path`` are those of one :func:`index_corpus`. The number of a file
+    is in its name, and a condition on names is applied to the listing, before any file is
+    opened. The words are pushed to the reader as well.
+    """
+    index = load_index(spark, path, collection, file_type)
+    numbers = word_files(spark, vocab_path, words, collection)
+    if numbers is not None:
+        names = [f"part-{number:05d}" for number in numbers]
+        named = F.substring_index(F.col("_metadata.file_name"), "-", 2).isin(names)
+        schema = f"word string, file {file_type}, idf double, tf_idf double, collection string"
+        index = in_collection(spark.read.schema(schema).orc(path), collection)
+        index = index.where(named if names else F.lit(False)).select(*INDEX_COLUMNS)
+    return index.where(F.col("word").isin(sorted(set(words))))
+
+
 def warm(index: DataFrame) -> int:
     """Fill the cache of a loaded index and return its number of entries."""
     return index.count()

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import termlode as tl
-from helpers import rows
+from helpers import plan, rows
 from termlode.plans.search import hits
 
 
@@ -162,3 +162,26 @@ def test_known_item_is_ranked_high(spark, real_docs, real_index):
     )
     query = " ".join(r["word"] for r in rare.collect())
     assert tl.search(real_index, query, 1, collection="en").first()["file"] == document["file"]
+
+
+def test_batch_queries_with_collections_read_these_only(spark, real_index, tmp_path):
+    path = str(tmp_path / "index")
+    tl.write_index(real_index, path)
+    stored = tl.load_index(spark, path, file_type="bigint")
+    rows_of = [(1, "the of and", 5, "en"), (2, "ention onthe", 3, "en")]
+    scoped = spark.createDataFrame(rows_of, "query_id long, text string, amount int, collection string")
+    found = tl.search_batch(stored, scoped)
+    scan = plan(found).split("FileScan orc")[1]
+    filters = scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "collection" in filters and "en" in filters
+    for query_id, text, amount, collection in rows_of:
+        one = tl.search(real_index, text, amount, collection)
+        assert rows(found.where(f"query_id = {query_id}"), "file", "score") == rows(one, "file", "score")
+    mixed = scoped.unionByName(
+        spark.createDataFrame([(3, "the of", 4, None), (4, "onthe", 2, "nowhere")], scoped.schema)
+    )
+    found = tl.search_batch(stored, mixed)
+    assert {r["query_id"] for r in found.collect()} == {1, 2, 3}
+    assert rows(found.where("query_id = 3"), "file", "score") == rows(
+        tl.search(real_index, "the of", 4), "file", "score"
+    )

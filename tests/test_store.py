@@ -240,3 +240,35 @@ def test_spread_moves_small_scans_only(spark, real_docs, tmp_path):
         assert "Exchange" not in plan(tl.spread(with_many.select("collection", "file", "text")))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_search_opens_the_files_of_its_words_only(spark, real_docs, real_index, tmp_path):
+    path, vocab_path = str(tmp_path / "index"), str(tmp_path / "vocab")
+    tl.index_corpus(real_docs, path, vocab_path=vocab_path, file_rows=1000)
+    every = sorted((tmp_path / "index").rglob("part-*.orc"))
+    words = ["the", "ention", "nosuchword"]
+    for collection in (None, "en"):
+        numbers = store.word_files(spark, vocab_path, words, collection)
+        holding = {f for f in every if int(f.name.split("-")[1]) in numbers}
+        assert 0 < len(holding) < len(every) / 2
+        found = tl.load_words(spark, path, vocab_path, words, collection, "bigint")
+        assert rows(found) == rows(tl.in_collection(real_index, collection).where(F.col("word").isin(words)))
+    numbers = store.word_files(spark, vocab_path, words)
+    for file in every:
+        if int(file.name.split("-")[1]) not in numbers:
+            file.write_bytes(b"no footer that could be read")
+            (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    found = tl.load_words(spark, path, vocab_path, words, file_type="bigint")
+    assert rows(tl.search(found, "the ention nosuchword", 5)) == rows(
+        tl.search(real_index, "the ention nosuchword", 5)
+    )
+    assert tl.load_words(spark, path, vocab_path, ["nosuchword"]).count() == 0
+
+
+def test_many_files_are_not_looked_up(spark, docs, index, tmp_path, monkeypatch):
+    path, vocab_path = str(tmp_path / "index"), str(tmp_path / "vocab")
+    tl.index_corpus(docs, path, vocab_path=vocab_path, file_rows=1)
+    monkeypatch.setattr(store, "MOST_RANGES", 1)
+    assert store.word_files(spark, vocab_path, ["dog"]) is None
+    found = tl.load_words(spark, path, vocab_path, ["dog"])
+    assert rows(found) == rows(index.where("word = 'dog'"))
