@@ -172,6 +172,14 @@ def inverted_index(spark, sf_dir):
     return lists.withColumn("files", F.array_join(F.col("files").cast("array<string>"), " "))
 
 
+def postings_roundtrip(spark, sf_dir):
+    """The inverted index of posting lists that were stored as blocks of document numbers."""
+    path = tl.scratch_path(spark, "postings")
+    tl.write_postings(_docs(spark, sf_dir), path)
+    lists = tl.inverted_index(tl.load_postings(spark, path, file_type="bigint"), PART_ROWS)
+    return lists.withColumn("files", F.array_join(F.col("files").cast("array<string>"), " "))
+
+
 def doc_lengths(spark, sf_dir):
     return tl.doc_lengths(_docs(spark, sf_dir))
 
@@ -379,6 +387,7 @@ def text_search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         "tokens_word_hyphen": tokens_word_hyphen,
         "tokens_punct": tokens_punct,
         "inverted_index": inverted_index,
+        "postings_roundtrip": postings_roundtrip,
         "doc_lengths": doc_lengths,
         "term_counts": term_counts,
         "tf_ratio": _term_frequency("ratio"),
@@ -536,6 +545,20 @@ _INDEX_SELECT = """SELECT collection, word, file, round(idf, 6) AS idf,
        round(tf_idf, 6) AS tf_idf FROM entries"""
 
 
+_INVERTED = f"""SELECT collection, word, bucket + buckets * (occurrence // {PART_ROWS}) AS part,
+       string_agg(file::VARCHAR, ' ' ORDER BY file) AS files
+FROM (SELECT *, sum("count") OVER (PARTITION BY collection, word, bucket ORDER BY file
+                                   ROWS UNBOUNDED PRECEDING)::BIGINT - "count"
+                + unnest(range("count")) AS occurrence
+      FROM (SELECT *, {_FILE_DIGEST} % buckets AS bucket
+            FROM (SELECT collection, word, file, "count",
+                         CASE WHEN cf > {PART_ROWS} THEN ceil(2 * cf / {PART_ROWS})::BIGINT
+                              ELSE 1 END AS buckets
+                  FROM (SELECT *, sum("count") OVER (PARTITION BY collection, word) AS cf
+                        FROM counts))))
+GROUP BY ALL"""
+
+
 def text_search_oracles() -> dict[str, str]:
     scores = {
         "search_scores": _search_sql(QUERY),
@@ -606,20 +629,8 @@ FROM norms LEFT JOIN dots USING (collection, file) LEFT JOIN query_norms USING (
         "tokens_punct": _with(
             "SELECT collection, file, word FROM tokens", normalizer="punct_lines"
         ),
-        "inverted_index": _with(
-            f"""SELECT collection, word, bucket + buckets * (occurrence // {PART_ROWS}) AS part,
-       string_agg(file::VARCHAR, ' ' ORDER BY file) AS files
-FROM (SELECT *, sum("count") OVER (PARTITION BY collection, word, bucket ORDER BY file
-                                   ROWS UNBOUNDED PRECEDING)::BIGINT - "count"
-                + unnest(range("count")) AS occurrence
-      FROM (SELECT *, {_FILE_DIGEST} % buckets AS bucket
-            FROM (SELECT collection, word, file, "count",
-                         CASE WHEN cf > {PART_ROWS} THEN ceil(2 * cf / {PART_ROWS})::BIGINT
-                              ELSE 1 END AS buckets
-                  FROM (SELECT *, sum("count") OVER (PARTITION BY collection, word) AS cf
-                        FROM counts))))
-GROUP BY ALL"""
-        ),
+        "inverted_index": _with(_INVERTED),
+        "postings_roundtrip": _with(_INVERTED),
         "doc_lengths": _with("SELECT collection, file, word_count FROM lengths"),
         "term_counts": _with('SELECT collection, file, word, "count" FROM counts'),
         "tf_ratio": _with("SELECT collection, file, word, round(tf, 6) AS tf FROM entries"),

@@ -9,6 +9,7 @@ from termlode.plans.growing import (
     load_growing,
 )
 from termlode.plans.index import build_index, index_corpus, store_vocabulary, weighted_counts
+from termlode.plans.lists import load_lists, load_postings, write_postings
 from termlode.plans.search import (
     query_matches,
     query_table,
@@ -30,6 +31,8 @@ __all__ = [
     "index_corpus",
     "load_growing",
     "load_impacts",
+    "load_lists",
+    "load_postings",
     "query_matches",
     "query_table",
     "query_terms",
@@ -43,4 +46,5 @@ __all__ = [
     "unmatched_terms",
     "weighted_counts",
     "write_impacts",
+    "write_postings",
 ]

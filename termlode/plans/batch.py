@@ -43,7 +43,9 @@ def reject_invalid(queries: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def _matches(searched: DataFrame, terms: DataFrame, broadcast: bool, slice_rows: int) -> DataFrame:
+def _matches(
+    searched: DataFrame, terms: DataFrame, counted: DataFrame, broadcast: bool, slice_rows: int
+) -> DataFrame:
     """Index entries with the texts that ask for their word.
 
     Beyond a broadcast both sides are shuffled, a word in as many slices as its
@@ -51,7 +53,6 @@ def _matches(searched: DataFrame, terms: DataFrame, broadcast: bool, slice_rows:
     """
     if broadcast:
         return searched.join(F.broadcast(terms), "word")
-    counted = stored(searched.groupBy("word").agg(F.count(F.lit(1)).alias("entries")), "entries")
     total, largest = counted.agg(F.sum("entries"), F.max("entries")).first()
     return join_by_frequency(
         searched,
@@ -146,11 +147,15 @@ def search_batch(
         F.explode(F.array_distinct("words")).alias("word"),
     )
     searched = _asked_for(in_collection(index, collection), terms, broadcast_keys)
-    matched = _matches(searched, terms, text_bytes <= broadcast_bytes, slice_rows).where(
+    counted = stored(searched.groupBy("word").agg(F.count(F.lit(1)).alias("entries")), "entries")
+    matched = _matches(searched, terms, counted, text_bytes <= broadcast_bytes, slice_rows).where(
         "scope IN ('', collection)"
     )
+    # A text of common words reaches about as many documents as its commonest word.
+    reached = counted.agg(F.max("entries")).first()[0] or 0
+    slices = max(FIXED_SLICES, -(-reached // slice_rows))
     scores = (
-        matched.withColumn("_slice", F.pmod(F.xxhash64("collection", "file"), F.lit(FIXED_SLICES)))
+        matched.withColumn("_slice", F.pmod(F.xxhash64("collection", "file"), F.lit(slices)))
         .repartition("text_id", "_slice")
         .groupBy("text_id", "_slice", "most", "total_words", "collection", "file")
         .agg(coordinated_score(F.col("total_words")).alias("score"))
