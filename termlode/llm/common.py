@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from termlode.sources.store import scratch_path
 
-# Id sets counted to be no larger than this are broadcast (8 bytes each).
-BROADCAST_IDS = 1_000_000
+# Facts counted to have no more bytes than this are broadcast.
+BROADCAST_BYTES = 8_000_000
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
@@ -66,9 +66,16 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return small_join(docs, gone, KEY, "left_anti").drop(KEY)
 
 
-def small_join(frame: DataFrame, facts: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join with facts of a few bytes a row; they are broadcast only if counted to be few."""
-    few = facts.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+def small_join(
+    frame: DataFrame, facts: DataFrame, key: str, how: str = "inner", row_bytes=8
+) -> DataFrame:
+    """Join with facts that are broadcast only if their bytes are counted to be few.
+
+    ``row_bytes``, a number or a column, says how many a row has. More facts are shuffled
+    with the frame, where adaptive execution splits what is skewed.
+    """
+    size = facts.agg(F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes)).first()[0]
+    few = (size or 0) <= BROADCAST_BYTES
     return frame.join(F.broadcast(facts) if few else facts, key, how)
 
 

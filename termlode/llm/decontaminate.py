@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termlode.llm.blocks import give_back
+from termlode.llm.common import KEY, stored, with_key, without
 from termlode.llm.fingerprints import LOWER, Words, slices, split_words
 
 SHINGLE_WORDS = 5
@@ -295,6 +297,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     numbers = [pa.array([h[i] for h in hits.values()], pa.float64()) for i in range(3)]
                     items = pa.array([index.ids[item] for _, item in hits], item_type)
                     yield pa.RecordBatch.from_arrays([ids, items, *numbers], kinds.names)
+            give_back()
 
         found = found.unionByName(docs.select("doc_id", "text").mapInArrow(run, kinds))
     return found
@@ -302,15 +305,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item; see :func:`contaminated`."""
-    for index in item_indexes(benchmark):
-
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                clean = np.ones(batch.num_rows, bool)
-                for low, high in slices(batch.column("text")):
-                    hits = verified(words_of(batch.column("text").slice(low, high - low)), index)
-                    clean[[low + text for text, _ in hits]] = False
-                yield batch.filter(pa.array(clean))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    named = with_key(docs)
+    texts = named.select(F.col(KEY).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    leaks = contaminated(texts, benchmark).select(F.col("doc_id").alias("rid")).distinct()
+    return without(named, stored(leaks, "leaks"))

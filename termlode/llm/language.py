@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termlode.llm.common import documents_of
+from termlode.llm.blocks import give_back
+from termlode.llm.common import KEY, documents_of, stored, with_key, without
 
 # The training sample: so many rows a language, so many bytes of each and in all.
 SAMPLE_ROWS = 48
@@ -251,11 +252,27 @@ def identify(docs: DataFrame, model: dict[str, bytes] | None = None) -> DataFram
                 schema.names,
             )
             yield from whole.to_batches(max_chunksize=1000)
+        # The worker lives on; the automata are of no use to what it does next.
+        _tables.cache_clear()
+        give_back()
 
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     return known.mapInArrow(run, schema).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
 
 
+def drop_undetermined(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language could be told; see :func:`identify`.
+
+    Only key and text pass through Python, and only the keys of the others come back.
+    """
+    named = with_key(docs)
+    texts = named.select(
+        F.col(KEY).alias("rid"), F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    told = identify(texts, training_sample(docs))
+    return without(named, stored(told.where(F.col("lang_pred") == UNDETERMINED).select("rid"), "undetermined"))
+
+
 def language_predictions(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)``, one row per row of ``docs``."""
     picked = documents_of(docs).withColumn("lang", F.lit(None).cast("string"))

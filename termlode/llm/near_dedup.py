@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termlode.llm.blocks import give_back
 from termlode.llm.common import keyed, keyed_rows, small_join, stored, with_key, without
 from termlode.llm.fingerprints import LOWER, Words, mix, slices, split_words
 from termlode.operators.skew import join_by_frequency
@@ -55,7 +56,7 @@ MOST_DIFFERENT = 639
 SKETCHED = (
     "rid long, doc_id long, n_shingles long, signature binary, bands array<long>, sketch binary"
 )
-SETS = "rid long, shingles binary"
+SETS = "rid long, shingles array<long>"
 LONG_SKETCHED = "rid long, bits array<long>"
 _UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -153,6 +154,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 ],
                 ["rid", "doc_id", "n_shingles", "signature", "bands", "sketch"],
             )
+    give_back()
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,17 +163,18 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("rid").slice(low, high - low),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                 ],
                 ["rid", "shingles"],
             )
+    give_back()
 
 
 def _long_sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low in range(0, batch.num_rows, 64):
             part = batch.slice(low, 64)
-            sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in part.column("shingles")]
+            sets = [s.values.to_numpy().view(np.uint64) for s in part.column("shingles")]
             odd = (mix(sketches(sets, BITS)) & np.uint64(1)).astype(np.uint8)
             bits = np.packbits(odd, axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -192,17 +195,6 @@ def _count_equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield picked.filter(pa.array(equal >= LEAST_EQUAL))
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        linked = []
-        for left, right in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-            a = np.frombuffer(left.as_buffer(), np.uint64)
-            b = np.frombuffer(right.as_buffer(), np.uint64)
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            linked.append(100 * common >= SIMILARITY_PERCENT * (len(a) + len(b) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-
 def sketch_documents(rows: DataFrame) -> DataFrame:
     """``(rid, doc_id, n_shingles, signature, bands, sketch)``; the last three null when empty."""
     return rows.select("rid", "doc_id", "text").mapInArrow(_sketch_batches, SKETCHED)
@@ -231,7 +223,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         F.col("rid").alias(name), F.col("shingles").alias(f"set_{name}")
     )
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    return both.mapInArrow(_confirm, "a long, b long")
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    union = F.size("set_a") + F.size("set_b") - common
+    return both.where(100 * common >= SIMILARITY_PERCENT * union).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
