@@ -24,6 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termlode.llm.blocks import give_back
 from termlode.llm.common import keyed, row_blocks
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -114,7 +115,7 @@ def _bundles(parts: int):
             for p in range(parts)
             if cuts[p] < cuts[p + 1]
         ]
-        pa.default_memory_pool().release_unused()
+        give_back()
         return pa.table(dict(zip(("part", "block", "size", "packed"), _columns(rows), strict=True)))
 
     return run
@@ -139,6 +140,8 @@ def _encode_part(ranks: bytes):
                 if word not in known:
                     known[word] = np.array(encode(word.decode("utf-8")), kind).tobytes()
             rows.append((part, block, *pack([known[word] for word in words])))
+        del known
+        give_back()
         return pa.table(dict(zip(("part", "block", "size", "packed"), _columns(rows), strict=True)))
 
     return run
@@ -158,7 +161,7 @@ def _assemble(parts: int, ranks: bytes, with_decoded: bool):
         ]
         place = pc.index_in(flat, pa.array(words, pa.binary())).to_numpy(zero_copy_only=False)
         del flat, words
-        pa.default_memory_pool().release_unused()
+        give_back()
         counts = pc.fill_null(pc.list_value_length(documents.column("words")), 0).to_numpy()
         ends = np.cumsum(counts)
         joined = [
@@ -183,14 +186,22 @@ def _assemble(parts: int, ranks: bytes, with_decoded: bool):
 
 
 def pre_tokens(text):
-    """Array of the pattern's matches; ``\\s`` means all Unicode white space."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + public_tokenizers.PATTERN), F.lit(0))
+    """Array of the pattern's matches; ``\\s`` means all Unicode white space.
+
+    A text with a character that is newer than this engine's tables, where it is neither
+    letter nor digit, is one pre-token: the encoder cuts what it gets by the same pattern.
+    """
+    text = F.coalesce(text, F.lit(""))
+    matches = F.regexp_extract_all(text, F.lit("(?U)" + public_tokenizers.PATTERN), F.lit(0))
+    return F.when(text.rlike(r"\p{Cn}"), F.array(text)).otherwise(matches)
 
 
-def _encoded(docs: DataFrame, ranks_path: str | None, with_decoded: bool) -> DataFrame:
+def _encoded(
+    docs: DataFrame, ranks_path: str | None, with_decoded: bool, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     ranks = read_ranks(ranks_path)
     rows = keyed(docs)
-    blocks = row_blocks(rows, BLOCK_BYTES)
+    blocks = row_blocks(rows, block_bytes)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("rid"), F.lit(blocks))).repartition(
         tasks, "block"
@@ -238,13 +249,16 @@ def decode(encoded: DataFrame, ranks_path: str | None = None) -> DataFrame:
     return encoded.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
+def round_trip(
+    docs: DataFrame, ranks_path: str | None = None, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``, one row per row of ``docs``.
 
     Encodes, and decodes the ids in the task that put them together: a second Python
-    worker per task would only hold them once more.
+    worker per task would only hold them once more. Larger blocks share more words and
+    shuffle less, smaller ones need less memory.
     """
-    return _encoded(docs, ranks_path, True).select(
+    return _encoded(docs, ranks_path, True, block_bytes).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
