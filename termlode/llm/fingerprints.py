@@ -2,8 +2,9 @@
 
 A batch of texts is one byte buffer; word borders, word hashes and window hashes are
 numpy operations over it. A word is a run of bytes other than space and 09-0D.
-Hashes are polynomials modulo 2^64 whose terms pass a mixer, so equal words give equal
-numbers wherever they stand.
+A word's hash adds up a scrambled number for each of its bytes and places, so equal words
+give equal numbers wherever they stand, and no pattern of letters cancels out. Windows of a
+few words are polynomials over the hashes of their words.
 """
 
 from __future__ import annotations
@@ -38,26 +39,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _Powers:
-    """Powers of a base and of its inverse modulo 2^64, grown as needed."""
-
-    def __init__(self, base: int):
-        self._base, self._inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, SLICE_BYTES + 1)
-            self.up, self.down = (
-                np.cumprod(np.append(np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)))
-                for b in (self._base, self._inverse)
-            )
-        return self.up, self.down
-
-
-_POWERS = tuple(_Powers(base) for base in _BASES)
-
-
 @dataclass
 class Words:
     """Words of several texts: byte borders, and the first word of each text."""
@@ -86,12 +67,15 @@ class Words:
 
     def hashes(self, kind: int = 0) -> np.ndarray:
         """A 64-bit hash per word; the two kinds are independent."""
-        up, down = _POWERS[kind].upto(len(self.data) + 1)
-        terms = (self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)]
-        sums = np.zeros(len(self.data) + 1, np.uint64)
+        lengths = self.ends - self.starts
+        ends = np.cumsum(lengths)
+        place = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
+        own = self.data[place + np.repeat(self.starts, lengths)]
+        terms = mix((place << 8 | own).astype(np.uint64) * np.uint64(_BASES[kind]) + np.uint64(_STEPS[kind]))
+        sums = np.zeros(len(place) + 1, np.uint64)
         np.cumsum(terms, out=sums[1:])
-        own = (sums[self.ends] - sums[self.starts]) * down[self.starts]
-        return mix(own + (self.ends - self.starts).astype(np.uint64) * np.uint64(_STEPS[1 - kind]))
+        own = sums[ends] - sums[ends - lengths]
+        return mix(own + lengths.astype(np.uint64) * np.uint64(_STEPS[1 - kind]))
 
     def windows(self, size: int, kind: int = 0, hashes: np.ndarray | None = None) -> np.ndarray:
         """Hash of the ``size`` words from each word on; see :meth:`whole_windows`."""
