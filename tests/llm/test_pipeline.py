@@ -12,7 +12,7 @@ def test_stages_are_those_registered():
 
     queries = __spark_entry__.queries()
     assert queries["pipeline"] is corpus_pipeline.run
-    assert {n.split("_")[0] for n in queries if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert len(corpus_pipeline.STAGES) == 5
 
 
