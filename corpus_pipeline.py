@@ -17,10 +17,20 @@ from termlode.llm import bpe, decontaminate, exact_dedup, language, near_dedup
 from termlode.llm.common import stored
 
 
+# Rows that a Python worker gets at a time. Executors hold what all stages before left in
+# their workers, so batches are small, and so are the blocks of the last stage.
+BATCH_ROWS = "1000"
+BPE_BLOCK_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that could be told; the rest goes."""
-    told = language.identify(docs).where(f"lang_pred <> '{language.UNDETERMINED}'")
-    return told.select(*docs.columns)
+    small_batches(spark)
+    return language.drop_undetermined(docs)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,17 +40,20 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near duplicates."""
+    small_batches(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a test item."""
+    small_batches(spark)
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with their digest and that of the decoded bytes."""
-    return bpe.round_trip(docs)
+    small_batches(spark)
+    return bpe.round_trip(docs, block_bytes=BPE_BLOCK_BYTES)
 
 
 STAGES = [
