@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -113,7 +114,9 @@ def centred_blocks(rows: DataFrame, sums: list[int], n: int) -> BlockMatrix:
     centred = F.transform(deviations(sums, n), lambda y: y.cast("double") / F.lit(n))
     frame = rows.select("index", array_to_vector(centred).alias("vector"))
     matrix = IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(frame, "vector"), n, len(sums))
-    return matrix.toBlockMatrix(BLOCK_ROWS, min(BLOCK_COLUMNS, len(sums)))
+    blocks = matrix.toBlockMatrix(BLOCK_ROWS, min(BLOCK_COLUMNS, len(sums)))
+    # Both products read them, the first on both sides; lost ones are put together again.
+    return blocks.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def scatter(blocks: BlockMatrix) -> np.ndarray:
@@ -132,15 +135,18 @@ def scatter(blocks: BlockMatrix) -> np.ndarray:
     return BlockMatrix(product, side, side).toLocalMatrix().toArray()
 
 
-def fit(rows: DataFrame, components: int = COMPONENTS) -> Whitening | None:
-    """Centre and first components of indexed rows; None if there are none."""
-    length = rows.agg(F.max(F.size("x"))).first()[0]
-    if not length:
-        return None
+def centre(rows: DataFrame) -> tuple[int, list[int]]:
+    """How many rows there are, and their sum in each dimension."""
+    length = rows.agg(F.max(F.size("x"))).first()[0] or 0
     n, *sums = rows.agg(
         F.count(F.lit(1)), *(F.sum(F.col("x")[i]) for i in range(length))
     ).first()
-    covariance = scatter(centred_blocks(rows, sums, n)) / n
+    return n, sums
+
+
+def fit(blocks: BlockMatrix, n: int, sums: list[int], components: int = COMPONENTS) -> Whitening:
+    """The first components of centred rows in blocks."""
+    covariance = scatter(blocks) / n
     values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
     order = np.argsort(values)[::-1][:components]
     vectors = vectors[:, order]
@@ -150,9 +156,8 @@ def fit(rows: DataFrame, components: int = COMPONENTS) -> Whitening | None:
     )
 
 
-def project(spark: SparkSession, rows: DataFrame, model: Whitening) -> DataFrame:
+def project(spark: SparkSession, blocks: BlockMatrix, model: Whitening) -> DataFrame:
     """``(index, projected)``, the centred rows times the whitening matrix."""
-    blocks = centred_blocks(rows, model.sums, model.n)
     matrix, side, width = model.scaled(), blocks.colsPerBlock, len(model.eigenvalues)
     parts = [
         ((i, 0), Matrices.dense(len(part), width, part.ravel(order="F")))
@@ -197,11 +202,13 @@ def whiten(embeddings: DataFrame, components: int = COMPONENTS) -> DataFrame:
     """
     spark = embeddings.sparkSession
     rows = indexed(whole_vectors(embeddings))
-    model = fit(rows, components)
-    if model is None:
+    n, sums = centre(rows)
+    if not n:
         return spark.createDataFrame([], WHITENED)
+    blocks = centred_blocks(rows, sums, n)
+    model = fit(blocks, n, sums, components)
     some = model.has_variance()
-    projected = stored(project(spark, rows, model), "projected")
+    projected = stored(project(spark, blocks, model), "projected")
     error = identity_error(projected, some)
     total = F.aggregate(
         deviations(model.sums, model.n),
