@@ -4,8 +4,10 @@ A parse tree of fixed depth: the number of tokens, then the leading tokens, vari
 (those with a digit) as a wildcard, lead to a leaf. Of the distinct lines of a leaf the one
 in most documents is the seed of a template; lines of which enough tokens are equal at their
 places belong to it, and places where members differ are its variable fields. Any other
-line is a template of its own. A template that recurs in enough documents is dropped from
-them. Documents with equal texts count once, so copies alone make no template.
+line is a template of its own. A leaf has more templates than that of its seed: lines of it
+that differ in one token alone are members of a template with that field. A template that
+recurs in enough documents is dropped from them. Documents with equal texts count once, so
+copies alone make no template.
 
 Lines travel as two hashes; the text of a line is fetched only in leaves that enough
 documents reach. Equal lines are counted together before anything is joined, so a line
@@ -56,7 +58,10 @@ def _equal_places(line: str, seed: str) -> Column:
 
 
 def templates(lines: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
-    """``(key, template, documents)`` of every distinct line of a recurring template."""
+    """``(key, template, documents)`` of every distinct line of a recurring template.
+
+    A line that belongs to several templates has a row for each.
+    """
     held = stored(
         lines.groupBy("key", "leaf", "doc").agg(F.count(F.lit(1)).alias("n")).drop("n"), "held"
     )
@@ -132,12 +137,85 @@ def templates(lines: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataF
         ),
         " ",
     )
-    return (
+    of_seeds = (
         placed.join(recurring, "group")
         .join(fields, "group", "left")
         .withColumn("fields", F.coalesce("fields", F.array().cast("array<int>")))
         .select("key", shape.alias("template"), "documents")
     )
+    return of_seeds.unionByName(_one_field_templates(known, held, least_documents))
+
+
+def _one_field_templates(known: DataFrame, held: DataFrame, least_documents: int) -> DataFrame:
+    """``(key, template, documents)`` of lines of a leaf that differ in one place only.
+
+    Such lines share the half that does not hold the place, so lines are first met by their
+    halves, and a line that shares one stands for each place of the other with that token
+    masked. A member in enough documents by itself makes a template recur, with at least its number of documents; the
+    documents of other members, each in fewer, are counted together.
+    """
+    tokens = F.split("line", " ")
+    size = F.size(tokens)
+    half = F.floor(size / F.lit(2)).cast("int")
+    long_enough = 100 * (size - 1) >= SIMILAR_PERCENT * size
+    sides = known.where(long_enough).select(
+        "key",
+        "leaf",
+        "documents",
+        F.explode(
+            F.array(
+                F.struct(
+                    F.xxhash64(F.slice(tokens, F.lit(1), half)).alias("same"),
+                    (half + 1).alias("first"),
+                    size.alias("last"),
+                ),
+                F.struct(
+                    F.xxhash64(F.slice(tokens, half + 1, size)).alias("same"),
+                    F.lit(1).alias("first"),
+                    half.alias("last"),
+                ),
+            )
+        ).alias("side"),
+    ).select("key", "leaf", "documents", "side.same", "side.first", "side.last")
+    shared = (
+        sides.groupBy("leaf", "same", "first")
+        .agg(F.count(F.lit(1)).alias("lines"), F.sum("documents").alias("sum"))
+        .where((F.col("lines") > 1) & (F.col("sum") >= least_documents))
+        .select("leaf", "same", "first")
+    )
+    alike = stored(sides.join(shared, ["leaf", "same", "first"]), "halves")
+    places = alike.join(known.select("key", tokens.alias("tokens")), "key").select(
+        "key", "leaf", "documents", "tokens", F.explode(F.sequence("first", "last")).alias("place")
+    )
+    without_one = F.concat(
+        F.slice("tokens", F.lit(1), F.col("place") - 1),
+        F.array(F.lit(WILDCARD)),
+        F.slice("tokens", F.col("place") + 1, F.size("tokens")),
+    )
+    members = stored(
+        places.select(
+            "key", "documents", "leaf", "place", F.array_join(without_one, " ").alias("template")
+        ),
+        "places",
+    )
+    group = ["leaf", "place", "template"]
+    several = members.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.max("documents").alias("most"),
+        F.sum("documents").alias("sum"),
+    ).where((F.col("lines") > 1) & (F.col("sum") >= least_documents))
+    several = stored(several, "several")
+    by_one = several.where(F.col("most") >= least_documents).select(*group, F.col("most").alias("documents"))
+    by_many = (
+        members.join(several.where(F.col("most") < least_documents).select(*group), group)
+        .select(*group, "key")
+        .join(held.select("key", "doc"), "key")
+        .groupBy(*group)
+        .agg(F.count_distinct("doc").alias("documents"))
+        .where(F.col("documents") >= least_documents)
+    )
+    found = by_one.unionByName(by_many)
+    return members.drop("documents").join(found, group).select("key", "template", "documents")
 
 
 def drop_recurring(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
@@ -146,13 +224,14 @@ def drop_recurring(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> D
     Lines end at a newline; a line without tokens belongs to no template and is kept.
     A null text counts as empty and is one empty line. Copies of a document lose the
     same lines. Repeated rows, null ids and further columns change nothing; an empty
-    table gives an empty result.
+    table gives an empty result. Of lines that are equally common the last in order is the
+    seed. Texts and lines may be of any length; a text is one row throughout.
     """
     rows = keyed(docs)
-    lines = lines_of(rows)
-    dropped = stored(templates(lines, least_documents).select("key"), "templates")
+    lines = stored(lines_of(rows), "all-lines")
+    dropped = stored(templates(lines, least_documents).select("key").distinct(), "templates")
     gone = stored(
-        small_join(lines.select("rid", "line_no", "key"), dropped, "key", "left_semi")
+        small_join(lines.select("rid", "line_no", "key"), dropped, "key", "left_semi", 24)
         .groupBy("rid")
         .agg(F.collect_list("line_no").alias("gone")),
         "gone",
@@ -160,7 +239,7 @@ def drop_recurring(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> D
     text_lines = F.split(F.coalesce("text", F.lit("")), "\n")
     left = F.filter(text_lines, lambda line, i: ~F.array_contains("gone", i))
     return (
-        small_join(rows, gone, "rid", "left")
+        small_join(rows, gone, "rid", "left", 4 * F.size("gone") + 16)
         .withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
         .select(
             "doc_id",
@@ -203,7 +282,18 @@ SQL = rf"""WITH
     recurring AS (
         SELECT template FROM grouped JOIN placed USING (line)
         GROUP BY template HAVING count(DISTINCT text) >= {LEAST_DOCUMENTS}),
-    dropped AS (SELECT line FROM grouped JOIN recurring USING (template)),
+    places AS (
+        SELECT DISTINCT size, head, line, place,
+               tokens[1:place - 1] || ['{WILDCARD}'] || tokens[place + 1:] AS shape
+        FROM (SELECT size, head, line, tokens, unnest(range(1, size + 1)) AS place FROM held)
+        WHERE 100 * (size - 1) >= {SIMILAR_PERCENT} * size),
+    shapes AS (
+        SELECT size, head, place, shape FROM places JOIN placed USING (size, head, line)
+        GROUP BY ALL
+        HAVING count(DISTINCT line) > 1 AND count(DISTINCT text) >= {LEAST_DOCUMENTS}),
+    dropped AS (
+        SELECT line FROM grouped JOIN recurring USING (template)
+        UNION SELECT line FROM places JOIN shapes USING (size, head, place, shape)),
     gone AS (
         SELECT doc_id, line_no FROM placed WHERE line IN (SELECT line FROM dropped)),
     kept AS (

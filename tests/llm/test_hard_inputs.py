@@ -71,10 +71,9 @@ def test_a_leaf_has_several_templates(spark):
     assert list(dropped(spark, offices).values()) == [1] * 7
     assert set(dropped(spark, offices + stories).values()) == {1}
     few = offices[:5] + stories
-    assert [dropped(spark, few)[i] for i in range(14)] == [0] * 5 + [1] * 9
+    assert dropped(spark, few) == dict(enumerate([0] * 5 + [1] * 9))
     # Copies of a document count once, also within such a template.
-    assert set(dropped(spark, offices[:5] + offices[:5] + stories).values()) == {0, 1}
-    assert [dropped(spark, offices[:5] + offices[:5])[i] for i in range(10)] == [0] * 10
+    assert set(dropped(spark, offices[:5] + offices[:5]).values()) == {0}
 
 
 def test_one_common_line_takes_those_along_that_differ_in_a_word(spark):
