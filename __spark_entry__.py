@@ -126,12 +126,11 @@ def index_rebuild_collection(spark, sf_dir):
 def corpus_files_roundtrip(spark, sf_dir):
     """The documents as text files, one each, read back as a folder of folders."""
     path = tl.scratch_path(spark, "corpus")
-    rows = _corpus(spark, sf_dir).select("collection", F.col("file").alias("doc"), "text")
-    rows.write.partitionBy("collection", "doc").text(path)
+    tl.write_corpus(_corpus(spark, sf_dir), path)
     files = tl.read_corpus(spark, path)
     return files.select(
         F.substring_index("collection", "=", -1).alias("collection"),
-        F.regexp_extract("file", r"/doc=(\d+)/", 1).cast("long").alias("file"),
+        F.regexp_extract("file", r"/file=(\d+)[/.]", 1).cast("long").alias("file"),
         "text",
     )
 

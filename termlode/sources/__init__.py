@@ -4,6 +4,7 @@ from termlode.sources.corpus import (
     in_collection,
     read_corpus,
     spread,
+    write_corpus,
 )
 from termlode.sources.store import (
     delete_scratch,
@@ -37,5 +38,6 @@ __all__ = [
     "warm",
     "write_beside",
     "write_clean",
+    "write_corpus",
     "write_index",
 ]

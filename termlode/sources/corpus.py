@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+import zlib
+from collections.abc import Iterator
+from itertools import groupby
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlode.functions.text import clean, doc_name, strip_prefix
 
+# Folders of a written collection, which are listed side by side.
+FOLDERS = 64
+
+# Text of small files that are read by one task.
+READ_BYTES = 32 << 20
+
+# What Spark replaces in the names of partition folders.
+_ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+_NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _qualified(spark: SparkSession, path: str) -> str:
     """The absolute path with scheme and authority, as the file system itself names it."""
@@ -32,12 +50,14 @@ def read_corpus(
     the start of each path only. A file found elsewhere is an error.
     """
     top = _qualified(spark, root).rstrip("/") + "/"
-    files = spark.read.text(
-        top + (collection or ""),
-        wholetext=True,
-        pathGlobFilter="*" + suffix,
-        recursiveFileLookup=True,
+    # Of a whole file, this source makes no copy of the configuration, as the text source does.
+    files = spark.read.format("binaryFile").load(
+        top + (collection or ""), pathGlobFilter="*" + suffix, recursiveFileLookup=True
     )
+    # A split takes few small files, so a folder of them is far more splits than its bytes need.
+    size = int(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    cores = spark.sparkContext.defaultParallelism
+    files = files.coalesce(max(4 * cores, -(-size // READ_BYTES)))
     # The metadata column is URL-encoded; a plus sign in it stands for itself.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     # An empty authority may be written as three slashes or left out.
@@ -50,10 +70,66 @@ def read_corpus(
     return files.select(
         F.split(below, "/", 2)[0].alias("collection"),
         (strip_prefix(path, prefix) if prefix else below).alias("file"),
-        F.col("value").alias("text"),
+        F.col("content").cast("string").alias("text"),
     ).where(F.instr(below, "/") > 0)
 
 
+def _name(value) -> str:
+    """A value as part of the name of a folder or file, as Spark writes it."""
+    escaped = _ESCAPED.sub(lambda c: f"%{ord(c[0]):02X}", "" if value is None else str(value))
+    return escaped or _NO_NAME
+
+
+def _write_files(top: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(top)
+        made: set[str] = set()
+        rows = (
+            row
+            for batch in batches
+            for row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+        )
+        written = 0
+        for (collection, file), texts in groupby(rows, key=lambda row: row[:2]):
+            name = f"file={_name(file)}.txt"
+            number = zlib.crc32(name.encode("utf-8", "surrogatepass")) % FOLDERS
+            folder = f"{root}/collection={_name(collection)}/{number:02}"
+            if folder not in made:
+                system.create_dir(folder, recursive=True)
+                made.add(folder)
+            # Another attempt of the task may write the same file.
+            draft = f"{folder}/.{uuid.uuid4().hex}"
+            with system.open_output_stream(draft) as out:
+                for _, _, text in texts:
+                    out.write(text)
+                    out.write(b"\n")
+            system.move(draft, f"{folder}/{name}")
+            written += 1
+        yield pa.RecordBatch.from_pydict({"files": [written]})
+
+    return run
+
+
+def write_corpus(docs: DataFrame, root: str) -> None:
+    """Write ``(collection, file, text)`` as text files, one per document, below ``root``.
+
+    A line end follows each text, and rows of one (collection, file) are one file. The path
+    has a folder ``collection=...`` and goes on with ``file=...``, named as partitions are.
+    Files of a local or mounted folder are written by the Python workers, as Hadoop's local
+    file system starts processes for every file; other stores get Spark's own partitions.
+    """
+    rows = docs.select("collection", "file", F.col("text").cast("binary").alias("text"))
+    rows = rows.repartition("collection", "file").sortWithinPartitions("collection", "file")
+    top = _qualified(docs.sparkSession, root).rstrip("/")
+    if not top.startswith("file:"):
+        rows.withColumn("text", F.col("text").cast("string")).write.partitionBy(
+            "collection", "file"
+        ).text(root)
+        return
+    top = "file://" + top.removeprefix("file:").removeprefix("//")
+    rows.mapInArrow(_write_files(top), "files long").agg(F.sum("files")).collect()
+
+
 def corpus_from_table(table: DataFrame, collection: str, file: str, text: str) -> DataFrame:
     """Use a table as a corpus; ``file`` must be unique within a collection.
 

@@ -272,3 +272,33 @@ def test_many_files_are_not_looked_up(spark, docs, index, tmp_path, monkeypatch)
     assert store.word_files(spark, vocab_path, ["dog"]) is None
     found = tl.load_words(spark, path, vocab_path, ["dog"])
     assert rows(found) == rows(index.where("word = 'dog'"))
+
+
+def test_corpus_files_are_one_a_document(spark, tmp_path):
+    """Odd names, repeated rows, empty texts and several folders come back as they were."""
+    given = [("a b", 1, "one\ntwo"), ("a b", 2, ""), ("c%d", 3, "drei é"), ("", 4, "x"), ("a b", 5, "y"), ("a b", 5, "y")]
+    docs = spark.createDataFrame(given, "collection string, file long, text string")
+    tl.write_corpus(docs, str(tmp_path / "files"))
+    written = sorted((tmp_path / "files").rglob("*.txt"))
+    assert len(written) == 5 and not [p for p in (tmp_path / "files").rglob(".*")]
+    found = tl.read_corpus(spark, str(tmp_path / "files"))
+    number = F.regexp_extract("file", r"/file=(\d+)[/.]", 1).cast("long")
+    assert rows(found.select("collection", number, "text")) == sorted(
+        [
+            ("collection=a b", 1, "one\ntwo\n"),
+            ("collection=a b", 2, "\n"),
+            ("collection=a b", 5, "y\ny\n"),
+            ("collection=c%25d", 3, "drei é\n"),
+            ("collection=__HIVE_DEFAULT_PARTITION__", 4, "x\n"),
+        ],
+        key=repr,
+    )
+
+
+def test_small_files_are_read_by_few_tasks(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    for i in range(2000):
+        (tmp_path / "c" / f"{i}.txt").write_text("some words")
+    found = tl.read_corpus(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert found.where("text = 'some words'").count() == 2000
