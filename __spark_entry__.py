@@ -127,7 +127,7 @@ def corpus_files_roundtrip(spark, sf_dir):
     """The documents as text files, one each, read back as a folder of folders."""
     path = tl.scratch_path(spark, "corpus")
     tl.write_corpus(_corpus(spark, sf_dir), path)
-    files = tl.read_corpus(spark, path)
+    files = tl.read_corpus(spark, path, source="binaryFile")
     return files.select(
         F.substring_index("collection", "=", -1).alias("collection"),
         F.regexp_extract("file", r"/file=(\d+)[/.]", 1).cast("long").alias("file"),

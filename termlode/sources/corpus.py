@@ -40,6 +40,7 @@ def read_corpus(
     collection: str | None = None,
     suffix: str = ".txt",
     prefix: str | None = None,
+    source: str = "text",
 ) -> DataFrame:
     """Read a folder of folders, one row per file with its whole text.
 
@@ -47,12 +48,16 @@ def read_corpus(
     only that folder is listed. ``file`` is the path below ``root``, or, with
     ``prefix`` given, the full path with that literal prefix removed. ``root`` may be
     relative, absolute or a URL; it is qualified by its file system and cut off at
-    the start of each path only. A file found elsewhere is an error.
+    the start of each path only. A file found elsewhere is an error. ``source`` may be
+    ``"binaryFile"``, which gives the same rows and, unlike ``"text"``, makes no copy of the
+    configuration for each file.
     """
     top = _qualified(spark, root).rstrip("/") + "/"
-    # Of a whole file, this source makes no copy of the configuration, as the text source does.
-    files = spark.read.format("binaryFile").load(
-        top + (collection or ""), pathGlobFilter="*" + suffix, recursiveFileLookup=True
+    files = spark.read.format(source).load(
+        top + (collection or ""),
+        wholetext=True,
+        pathGlobFilter="*" + suffix,
+        recursiveFileLookup=True,
     )
     # A split takes few small files, so a folder of them is far more splits than its bytes need.
     size = int(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
@@ -70,7 +75,7 @@ def read_corpus(
     return files.select(
         F.split(below, "/", 2)[0].alias("collection"),
         (strip_prefix(path, prefix) if prefix else below).alias("file"),
-        F.col("content").cast("string").alias("text"),
+        F.col("value" if source == "text" else "content").cast("string").alias("text"),
     ).where(F.instr(below, "/") > 0)
 
 

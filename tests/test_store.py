@@ -281,7 +281,7 @@ def test_corpus_files_are_one_a_document(spark, tmp_path):
     tl.write_corpus(docs, str(tmp_path / "files"))
     written = sorted((tmp_path / "files").rglob("*.txt"))
     assert len(written) == 5 and not [p for p in (tmp_path / "files").rglob(".*")]
-    found = tl.read_corpus(spark, str(tmp_path / "files"))
+    found = tl.read_corpus(spark, str(tmp_path / "files"), source="binaryFile")
     number = F.regexp_extract("file", r"/file=(\d+)[/.]", 1).cast("long")
     assert rows(found.select("collection", number, "text")) == sorted(
         [
@@ -299,6 +299,7 @@ def test_small_files_are_read_by_few_tasks(spark, tmp_path):
     (tmp_path / "c").mkdir()
     for i in range(2000):
         (tmp_path / "c" / f"{i}.txt").write_text("some words")
-    found = tl.read_corpus(spark, str(tmp_path))
-    assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
-    assert found.where("text = 'some words'").count() == 2000
+    for source in ("text", "binaryFile"):
+        found = tl.read_corpus(spark, str(tmp_path), source=source)
+        assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+        assert found.where("text = 'some words'").count() == 2000
