@@ -94,7 +94,9 @@ def add_documents(
     new = docs.select(*FILE_KEY)
     _refuse_repeated(new, path, file_type)
     name = f"{len(additions(spark, path)):06}-{uuid.uuid4().hex[:8]}"
-    counts = term_counts(docs, normalizer, drop_empty)
+    # Kept, as ranges of words are cut after a look at them: else the texts are split thrice.
+    marked = stored(term_counts(docs, normalizer, drop_empty, markers=True), "counts")
+    counts = marked.where("word IS NOT NULL")
     (
         counts.select(*WORD_KEY, "file", tf_column(tf).alias("tf"))
         .repartitionByRange("collection", "word", F.xxhash64("file"))
@@ -106,7 +108,6 @@ def add_documents(
         .orc(f"{path}/entries")
     )
     _append(new, name, f"{path}/documents")
-    marked = term_counts(docs, normalizer, drop_empty, markers=True)
     _append(
         frequencies(marked).repartitionByRange(*WORD_KEY).sortWithinPartitions(*WORD_KEY),
         name,

@@ -1,10 +1,11 @@
 """Documents added bit by bit weigh as those of one build."""
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 import termlode as tl
-from helpers import make_docs, rows
+from helpers import make_docs, plan, rows
 from termlode.plans import growing
 
 
@@ -100,3 +101,28 @@ def test_only_documents_with_words_of_the_addition_are_summed_anew(spark, tmp_pa
     tl.add_documents(make_docs(spark, [("new", "c", "dog1 other")]), path)
     assert growing.update_norm_parts(spark, path)[1] == 5
     assert growing.update_norm_parts(spark, path)[1] == 0
+
+
+def test_an_addition_splits_its_texts_once(spark, tmp_path, monkeypatch):
+    """Ranges of words are cut after a look at the entries, which must not read the texts again."""
+    (tmp_path / "corpus" / "c").mkdir(parents=True)
+    for i in range(3):
+        (tmp_path / "corpus" / "c" / f"{i}.txt").write_text(f"red dog {i}")
+    split = []
+
+    def watched(name):
+        written = getattr(DataFrameWriter, name)
+
+        def write(self, path, *rest, **options):
+            text = plan(self._df)
+            split.append("FileScan text" in text and "Generate" in text)
+            return written(self, path, *rest, **options)
+
+        monkeypatch.setattr(DataFrameWriter, name, write)
+
+    watched("parquet")
+    watched("orc")
+    tl.add_documents(tl.read_corpus(spark, str(tmp_path / "corpus")), str(tmp_path / "store"))
+    assert sum(split) == 1
+    found = tl.load_growing(spark, str(tmp_path / "store"))
+    assert found.count() == 9
