@@ -74,33 +74,40 @@ def word_array(
     return F.array_remove(words, "") if drop_empty else words
 
 
-def word_counts(words: Column) -> Column:
-    """Array of ``(word, count)`` structs, one per distinct word of an array.
+# A word and its repeats in a sorted text of words that single blanks separate.
+_RUN = r"([^ ]++)(?: \1(?![^ ]))*+"
+
+
+def word_runs(words: Column) -> Column:
+    """Array of runs, one per distinct word of an array: the word as often as it occurs,
+    separated by blanks.
 
-    Equal words sit together once sorted, so a count is the distance between two
-    neighbouring run starts. The two one-element ``transform`` calls name the
-    sorted array and the run starts, so that each is computed once per row.
+    Equal words sit together once sorted, and one regular expression cuts the sorted text
+    into runs, without a call per word. A run of n empty words is n - 1 blanks.
     """
+    full = F.array_remove(words, "")
+    empty = F.size(words) - F.size(full)
+    runs = F.regexp_extract_all(F.array_join(F.sort_array(full), " "), F.lit(_RUN), F.lit(0))
+    return F.when(empty > 0, F.array_prepend(runs, F.repeat(F.lit(" "), empty - 1))).otherwise(runs)
+
+
+def run_word(run: Column) -> Column:
+    """The word of a run."""
+    return F.substring_index(run, " ", 1)
 
-    def runs(ordered: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(ordered) - 1),
-            lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
-        )
-        return F.get(F.transform(F.array(starts), lambda begin: pairs(ordered, begin)), F.lit(0))
-
-    def pairs(ordered: Column, begin: Column) -> Column:
-        return F.transform(
-            begin,
-            lambda start, k: F.struct(
-                F.get(ordered, start).alias("word"),
-                (F.coalesce(F.get(begin, k + 1), F.size(ordered)) - start)
-                .cast("long")
-                .alias("count"),
-            ),
-        )
-
-    counted = F.get(F.transform(F.array(F.sort_array(words)), runs), F.lit(0))
+
+def run_count(run: Column) -> Column:
+    """How often the word of a run occurs."""
+    word = F.octet_length(run_word(run)) + 1
+    return F.floor((F.octet_length(run) + 1) / word).cast("long")
+
+
+def word_counts(words: Column) -> Column:
+    """Array of ``(word, count)`` structs, one per distinct word of an array."""
+    counted = F.transform(
+        word_runs(words),
+        lambda run: F.struct(run_word(run).alias("word"), run_count(run).alias("count")),
+    )
     return F.when(F.size(words) > 0, counted)
 
 

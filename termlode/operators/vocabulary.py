@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from termlode.functions.text import word_array
 from termlode.functions.weights import idf
 from termlode.operators.skew import join_sliced
-from termlode.operators.words import term_counts
 from termlode.sources.store import stored
 
 
@@ -49,6 +48,31 @@ def frequencies(counts: DataFrame) -> DataFrame:
     )
 
 
+def _corpus_frequencies(
+    docs: DataFrame, normalizer: str, drop_empty: bool, cf: bool = True
+) -> DataFrame:
+    """:func:`frequencies` of all words, with one null word per document, without its counts.
+
+    A document hands in each distinct word and a null, and for ``cf`` all its words after
+    them; what stands up to the null counts for df, the rest for cf.
+    """
+    words = F.coalesce(
+        word_array(F.col("text"), normalizer, drop_empty), F.array().cast("array<string>")
+    )
+    split = docs.select("collection", words.alias("words"))
+    once = F.array_append(F.array_distinct("words"), F.lit(None).cast("string"))
+    if not cf:
+        held = split.select("collection", F.explode(once).alias("word"))
+        counted = held.groupBy("collection", "word").agg(F.count(F.lit(1)).alias("df"))
+        return counted.withColumn("cf", F.lit(None).cast("long"))
+    sized = split.select("collection", "words", F.size(F.array_distinct("words")).alias("last"))
+    rows = sized.select("collection", "last", F.posexplode(F.concat(once, "words")))
+    first = F.col("pos") <= F.col("last")
+    return rows.groupBy("collection", F.col("col").alias("word")).agg(
+        F.count_if(first).alias("df"), F.count_if(~first).alias("cf")
+    )
+
+
 def with_idf(freqs: DataFrame, flipped: bool = False) -> DataFrame:
     """Add document count and idf to frequencies that hold one null word per document.
 
@@ -66,10 +90,12 @@ def vocabulary(
     normalizer: str = "word_hyphen",
     drop_empty: bool = False,
     flipped_idf: bool = False,
+    cf: bool = True,
 ) -> DataFrame:
     """``(collection, word, df, cf, n_docs, idf)`` for every word of the corpus.
 
     One pass over the text; its frequencies are stored, as N is taken from them too.
+    Without ``cf``, which not every use needs, that column is null and fewer rows are counted.
     """
-    counts = term_counts(docs, normalizer, drop_empty, markers=True)
-    return with_idf(stored(frequencies(counts), "frequencies"), flipped_idf)
+    freqs = _corpus_frequencies(docs, normalizer, drop_empty, cf)
+    return with_idf(stored(freqs, "frequencies"), flipped_idf)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termlode.functions.text import word_array, word_counts
+from termlode.functions.text import run_count, run_word, word_array, word_runs
 
 
 def tokens(
@@ -49,12 +49,21 @@ def term_counts(
     counted = F.col("words")
     if words is not None:
         counted = F.filter(counted, lambda word: word.isin(list(words)))
-    rows = word_counts(counted)
+    runs = word_runs(counted)
     if markers:
-        marker = F.struct(
-            F.lit(None).cast("string").alias("word"), F.lit(0).cast("long").alias("count")
-        )
-        rows = F.concat(F.array(marker), F.coalesce(rows, F.array_remove(F.array(marker), marker)))
-    return split.select(
-        "collection", "file", F.size("words").cast("long").alias("word_count"), F.inline(rows)
-    ).select("collection", "file", "word", "count", "word_count")
+        none = F.array().cast("array<string>")
+        runs = F.array_prepend(F.coalesce(runs, none), F.lit(None).cast("string"))
+    found = split.select(
+        "collection",
+        "file",
+        F.size("words").cast("long").alias("word_count"),
+        F.explode(runs).alias("run"),
+    )
+    run = F.col("run")
+    return found.select(
+        "collection",
+        "file",
+        run_word(run).alias("word"),
+        F.coalesce(run_count(run), F.lit(0).cast("long")).alias("count"),
+        "word_count",
+    )

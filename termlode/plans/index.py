@@ -20,6 +20,9 @@ WORD_KEY = ("collection", "word")
 # Entries of one file of a stored index.
 FILE_ROWS = 2_000_000
 
+# Vocabularies of more words than this are shuffled and hashed; of others the planner decides.
+PLANNED_WORDS = 400_000
+
 # Slices of each word when only a few words are asked for.
 FEW_WORDS_SLICES = 256
 
@@ -31,6 +34,7 @@ class StoredVocabulary:
     frame: DataFrame
     total_rows: int
     largest: int
+    words: int = 0
 
 
 def store_vocabulary(
@@ -38,16 +42,19 @@ def store_vocabulary(
     normalizer: str = "word_hyphen",
     drop_empty: bool = False,
     flipped_idf: bool = False,
+    cf: bool = True,
 ) -> StoredVocabulary:
-    """Compute the vocabulary once and keep it as a table.
+    """Compute the vocabulary once and keep it as a table, see :func:`vocabulary`.
 
     Writing it cuts the lineage, so the join below neither repeats the first pass
     over the text nor depends on the executors that ran it, and the planner sees
     its real size: small ones are broadcast, large ones are not.
     """
-    words = stored(vocabulary(docs, normalizer, drop_empty, flipped_idf), "vocabulary")
-    sums = words.agg(F.sum("df").alias("total"), F.max("df").alias("largest")).first()
-    return StoredVocabulary(words, sums["total"] or 0, sums["largest"] or 0)
+    words = stored(vocabulary(docs, normalizer, drop_empty, flipped_idf, cf), "vocabulary")
+    sums = words.agg(
+        F.sum("df").alias("total"), F.max("df").alias("largest"), F.count(F.lit(1)).alias("words")
+    ).first()
+    return StoredVocabulary(words, sums["total"] or 0, sums["largest"] or 0, sums["words"])
 
 
 def _with_vocabulary(
@@ -60,6 +67,7 @@ def _with_vocabulary(
     vocab: StoredVocabulary | None,
     cluster: bool,
     slice_rows: int = SLICE_ROWS,
+    cf: bool = True,
 ) -> DataFrame:
     """Join ``columns`` of the term counts with the vocabulary.
 
@@ -79,7 +87,10 @@ def _with_vocabulary(
         return join_sliced(counts, few, WORD_KEY, "file", slices=FEW_WORDS_SLICES, hint=hint)
     counts = term_counts(docs, normalizer, drop_empty).select(kept)
     if vocab is None:
-        vocab = store_vocabulary(docs, normalizer, drop_empty, flipped_idf)
+        vocab = store_vocabulary(docs, normalizer, drop_empty, flipped_idf, cf)
+    if hint is None and vocab.words > PLANNED_WORDS:
+        # The words of a partition are few beside its entries, which need no sorting.
+        hint = "shuffle_hash"
     return join_by_frequency(
         counts,
         vocab.frame,
@@ -142,6 +153,7 @@ def build_index(
         flipped_idf,
         vocab,
         cluster,
+        cf=False,
     )
     return weighted.select(
         "collection", "word", "file", "idf", (F.col("tf") * F.col("idf")).alias("tf_idf")
@@ -163,7 +175,11 @@ def place_words(words: DataFrame) -> StoredVocabulary:
     )
     ranges = (
         ordered.groupBy("_range")
-        .agg(F.sum("df").alias("entries"), F.max("df").alias("largest"))
+        .agg(
+            F.sum("df").alias("entries"),
+            F.max("df").alias("largest"),
+            F.count(F.lit(1)).alias("words"),
+        )
         .orderBy("_range")
         .collect()
     )
@@ -179,7 +195,12 @@ def place_words(words: DataFrame) -> StoredVocabulary:
     )
     inside = F.coalesce(F.sum("df").over(before), F.lit(0))
     placed = ordered.withColumn("begin", inside + F.get(above, F.col("_range"))).drop("_range")
-    return StoredVocabulary(placed, total, max((row["largest"] for row in ranges), default=0))
+    return StoredVocabulary(
+        placed,
+        total,
+        max((row["largest"] for row in ranges), default=0),
+        sum(row["words"] for row in ranges),
+    )
 
 
 def index_corpus(
@@ -204,7 +225,7 @@ def index_corpus(
     scores without reading more of the index than the query's words, and
     :func:`load_words` opens no other files. Other options as in :func:`build_index`.
     """
-    vocab = place_words(vocabulary(docs, normalizer, drop_empty, flipped_idf))
+    vocab = place_words(vocabulary(docs, normalizer, drop_empty, flipped_idf, cf=False))
     counts = _with_vocabulary(
         docs, [tf_column(tf).alias("tf")], normalizer, drop_empty, None, flipped_idf, vocab, False
     )

@@ -151,3 +151,25 @@ def test_hot_word_slices_broadcast_hashes_only(scan):
         assert "_slices" in below.splitlines()[1] and "word" not in below.splitlines()[1]
 
 
+
+
+def test_words_are_counted_without_a_call_per_word(scan):
+    assert "lambda" not in plan(tl.term_counts(scan))
+
+
+def test_large_vocabulary_meets_unsorted_counts(scan, monkeypatch):
+    before = tl.build_index(scan)
+    monkeypatch.setattr("termlode.plans.index.PLANNED_WORDS", 0)
+    index = tl.build_index(scan)
+    text = plan(index)
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text and "Sort " not in text
+    assert index.exceptAll(before).isEmpty() and before.count() == index.count()
+
+
+def test_vocabulary_without_collection_frequency(scan):
+    columns = ["collection", "word", "df", "n_docs", "idf"]
+    short, whole = tl.vocabulary(scan, cf=False), tl.vocabulary(scan)
+    assert short.select(columns).exceptAll(whole.select(columns)).isEmpty()
+    assert short.count() == whole.count() and short.where("cf IS NOT NULL").isEmpty()
+    total = tl.tokens(scan).count()
+    assert whole.selectExpr("sum(cf)").first()[0] == total
