@@ -288,19 +288,23 @@ def growing_search_top5(spark, sf_dir):
 
 
 def search_batch_topk(spark, sf_dir):
-    return _rounded(tl.search_batch(_index(spark, sf_dir), _query_set(spark, sf_dir)))
+    queries = _query_set(spark, sf_dir)
+    return _rounded(tl.search_batch(_index(spark, sf_dir), queries, store_entries=True))
 
 
 def search_batch_compat(spark, sf_dir):
     queries = _query_set(spark, sf_dir).withColumn("amount", F.lit(1_000_000))
-    return _rounded(tl.search_batch(_index(spark, sf_dir), queries, compat=True)).drop("rank")
+    index = _index(spark, sf_dir)
+    return _rounded(tl.search_batch(index, queries, compat=True, store_entries=True)).drop("rank")
 
 
 def search_batch_collections(spark, sf_dir):
     """Every second query searches one collection, each cleaned like a document."""
     scope = F.when(F.col("query_id") % 2 == 0, COLLECTION)
     queries = _query_set(spark, sf_dir).withColumn("collection", scope)
-    return _rounded(tl.search_batch(_index(spark, sf_dir), queries, normalize_query=True))
+    return _rounded(
+        tl.search_batch(_index(spark, sf_dir), queries, normalize_query=True, store_entries=True)
+    )
 
 
 def search_batch_rejects(spark, sf_dir):
@@ -314,7 +318,9 @@ def search_batch_rejects(spark, sf_dir):
 
 
 def term_map(spark, sf_dir):
-    index = tl.weighted_counts(_docs(spark, sf_dir)).withColumn("tf_idf", tf() * F.col("idf"))
+    docs = _docs(spark, sf_dir)
+    weighted = tl.weighted_counts(docs, vocab=tl.store_vocabulary(docs, cf=False))
+    index = weighted.withColumn("tf_idf", tf() * F.col("idf"))
     return _rounded(tl.term_map(index, PART_ROWS).withColumn("scores", _map_text("scores")))
 
 
@@ -333,7 +339,7 @@ def query_vector(spark, sf_dir):
 
 def cosine_scores(spark, sf_dir):
     docs = _docs(spark, sf_dir)
-    vocab = tl.store_vocabulary(docs)
+    vocab = tl.store_vocabulary(docs, cf=False)
     index = tl.build_index(docs, vocab=vocab)
     return _rounded(tl.cosine(index, REPEATED_QUERY, vocab=vocab.frame))
 

@@ -98,13 +98,16 @@ def search_batch(
     slice_rows: int = SLICE_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
     broadcast_keys: int = BROADCAST_KEYS,
+    store_entries: bool = False,
 ) -> DataFrame:
     """Top ``amount`` documents of every valid query; ``query_id`` must be unique.
 
     Returns ``(query_id, rank, collection, file, score)``. A column ``collection`` of
     the queries, where not null, restricts that query to it. ``compat`` ranks the row
     of nulls that stands for unknown words after all documents; ``normalize_query``
-    cleans the texts like documents.
+    cleans the texts like documents. ``store_entries`` keeps the index entries of the words
+    asked for as a table: an index that is not loaded but built would be built for each of
+    their uses.
 
     Equal texts are scored once, for the largest amount asked, and the result is handed
     to each of them. The index comes down to the words asked for before anything is
@@ -147,6 +150,8 @@ def search_batch(
         F.explode(F.array_distinct("words")).alias("word"),
     )
     searched = _asked_for(in_collection(index, collection), terms, broadcast_keys)
+    if store_entries:
+        searched = stored(searched, "searched")
     counted = stored(searched.groupBy("word").agg(F.count(F.lit(1)).alias("entries")), "entries")
     matched = _matches(searched, terms, counted, text_bytes <= broadcast_bytes, slice_rows).where(
         "scope IN ('', collection)"

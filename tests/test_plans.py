@@ -166,6 +166,14 @@ def test_large_vocabulary_meets_unsorted_counts(scan, monkeypatch):
     assert index.exceptAll(before).isEmpty() and before.count() == index.count()
 
 
+def test_batch_builds_its_index_once(spark, scan):
+    queries = spark.createDataFrame([(1, "the of nosuchword", 3)], "query_id long, text string, amount long")
+    for compat in (False, True):
+        found = tl.search_batch(tl.build_index(scan), queries, compat=compat, store_entries=True)
+        assert "sf0.01/documents.parquet" not in plan(found)
+        assert found.count() == 3
+
+
 def test_vocabulary_without_collection_frequency(scan):
     columns = ["collection", "word", "df", "n_docs", "idf"]
     short, whole = tl.vocabulary(scan, cf=False), tl.vocabulary(scan)
