@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
+from pyspark.sql import functions as F
 
 from termlode.llm import bpe, line_templates, near_dedup, substrings
 from termlode.llm.fingerprints import split_words
@@ -57,6 +58,29 @@ def test_characters_of_every_age_are_cut_as_the_library_does(spark):
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
 
 
+def test_only_links_leave_the_join_of_a_bucket(spark):
+    """Texts that share a core are candidates of each other, at 0.724 unless the own part is short."""
+    core = " ".join(f"c{i}" for i in range(88))
+    own = [6 if i < 4 else 16 for i in range(40)]
+    texts = [" ".join([core, *(f"d{i}x{k}" for k in range(n))]) for i, n in enumerate(own)]
+    rows = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "rid long, doc_id long, text string")
+    known = near_dedup.sketch_documents(rows)
+    sets = rows.select("rid", "text").mapInArrow(near_dedup._set_batches, near_dedup.SETS)
+    torn = known.select(F.explode("bands").alias("bucket"), "rid", F.col("rid").alias("component"))
+    found = {(r["a"], r["b"]) for r in near_dedup._links_across(torn, sets, known).collect()}
+    assert found == {
+        (a, b) for a in range(40) for b in range(a) if 100 * 84 >= 75 * (84 + own[a] + own[b])
+    }
+
+
+def test_no_link_is_lost_where_short_hashes_fall_together(spark):
+    one, other = [k << 32 | 5 for k in range(100)], [k << 32 | 5 for k in range(10, 110)]
+    sets = spark.createDataFrame([(1, one), (2, other), (3, [k << 32 | k for k in range(100)])], near_dedup.SETS)
+    known = spark.createDataFrame([(i, 100, [7]) for i in (1, 2, 3)], "rid long, n_shingles long, bands array<long>")
+    torn = spark.createDataFrame([(7, i, i) for i in (1, 2, 3)], "bucket long, rid long, component long")
+    assert [tuple(r) for r in near_dedup._links_across(torn, sets, known).collect()] == [(2, 1)]
+
+
 CITIES = ["Paris", "Rome", "Oslo", "Bern", "Riga", "Lima", "Cairo"]
 
 
