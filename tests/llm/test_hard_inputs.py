@@ -103,3 +103,15 @@ def test_a_leaf_has_several_templates(spark):
 def test_one_common_line_takes_those_along_that_differ_in_a_word(spark):
     texts = [f"a b c d e f g h\n{'z' * i} unlike" for i in range(8)] + ["a b c d e f g X\nanother one"]
     assert set(dropped(spark, texts).values()) == {1}
+
+
+def test_lines_of_rare_leaves_meet_nothing_and_places_hold_no_text(spark, monkeypatch):
+    offices = [f"Click here to visit our {city} office" for city in CITIES]
+    names = ["".join(chr(97 + int(digit)) for digit in str(i)) for i in range(60)]
+    rare = [f"own{name} words of{name} this one" for name in names]
+    texts = [f"{o}\n{o} today" for o in offices] + rare
+    kept, stored = {}, line_templates.stored
+    monkeypatch.setattr(line_templates, "stored", lambda frame, name: kept.setdefault(name, stored(frame, name)))
+    assert dropped(spark, texts) == dict(enumerate([2] * 7 + [0] * 60))
+    assert kept["recurring"].count() == 14 < kept["held"].count()
+    assert "string" not in kept["places"].schema.simpleString()
