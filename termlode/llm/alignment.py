@@ -3,7 +3,8 @@
 Every text is tokenised whole by both. Where a token of either ends before a space-marked
 token, at the same byte, lies an anchor; it is verified by the byte offsets of both. Anchors
 cut a document into windows, pairs of id tuples, and equal windows of a block are aligned once:
-groups end where both have a token end, and all tokens of a group are linked across.
+groups end where both have a token end, and all tokens of a group are linked across. Equal
+windows of a slice are told by a hash and compared token by token before they count as one.
 
 A block of documents is one stored row of window numbers and a table of its windows. Links
 are counted by document within the block, summed over blocks by Spark, and handed back.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from termlode.llm.blocks import numbers, pack, ranges, sums, text_blocks, unpack
 from termlode.llm.common import documents_of, stored
-from termlode.llm.fingerprints import byte_lengths
+from termlode.llm.fingerprints import byte_lengths, mix
 
 BYTE_LEVEL = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -80,21 +81,43 @@ class _Pair:
             np.array([len(token) for token in table], np.int64)
             for table in (self.bytes_a, self.bytes_b)
         )
-        self.name_a, self.name_b = (
-            [str(i) for i in range(len(table))] for table in (self.bytes_a, self.bytes_b)
-        )
+        # Each id in decimal, with room for what follows it.
+        names = [b"%d" % i for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.digits = np.array([len(name) for name in names], np.int64)
+        self.names = np.array(names, f"S{self.digits[-1] + 1}").view(np.uint8).reshape(len(names), -1)
 
-    def tokens(self, text: str | None) -> tuple[list[int], list[int], bytes] | None:
+    def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, bytes] | None]:
         """Ids by both and the bytes they stand for; None where these are not the text's."""
-        if not text:
-            return None
-        whole = " " + text
-        data = whole.encode("utf-8")
-        a, b = self._a.encode_ordinary(whole), self._b.encode(text)
-        for ids, table in ((a, self.bytes_a), (b, self.bytes_b)):
-            if b"".join([table[i] for i in ids]) != data:
-                return None
-        return a, b, data
+        found = [
+            (
+                np.array(self._a.encode_ordinary(whole), np.int32),
+                self._b.encode(whole[1:], return_type="numpy"),
+                whole.encode("utf-8"),
+            )
+            for whole in (f" {text}" for text in texts if text)
+        ]
+        data = [tokens[2] for tokens in found]
+        right = iter(
+            self._spell([tokens[0] for tokens in found], self.bytes_a, self.length_a, data)
+            & self._spell([tokens[1] for tokens in found], self.bytes_b, self.length_b, data)
+        )
+        left = iter(found)
+        found = [(next(left), next(right)) if text else (None, False) for text in texts]
+        return [tokens if same else None for tokens, same in found]
+
+    @staticmethod
+    def _spell(ids: list[np.ndarray], table: list[bytes], lengths: np.ndarray, data: list[bytes]) -> np.ndarray:
+        """Whether the ids of each text stand for its bytes."""
+        sizes = np.array([len(text) for text in data], np.int64)
+        counts = np.array([len(own) for own in ids], np.int64)
+        flat = np.concatenate([*ids, np.zeros(0, np.int32)])
+        same = sums(lengths[flat], counts) == sizes
+        flat = flat[np.repeat(same, counts)]
+        spelt = np.frombuffer(b"".join([table[i] for i in flat.tolist()]), np.uint8)
+        wanted = np.frombuffer(b"".join([text for text, s in zip(data, same, strict=True) if s]), np.uint8)
+        wrong = np.flatnonzero(spelt != wanted)
+        same[np.repeat(np.flatnonzero(same), sizes[same])[wrong]] = False
+        return same
 
 
 @lru_cache(maxsize=1)
@@ -103,9 +126,9 @@ def _pair(byte_level: str, pieces: bytes) -> _Pair:
 
 
 class _Windows(dict):
-    """Number of each window of a block, by its two id tuples as bytes, in order of coming."""
+    """Number of each window of a block, by its ids as bytes with -1 in between, in order of coming."""
 
-    def __missing__(self, key: tuple[bytes, bytes]) -> int:
+    def __missing__(self, key: bytes) -> int:
         self[key] = number = len(self)
         return number
 
@@ -114,23 +137,46 @@ def _ends(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(lengths[ids])
 
 
+def _hashes(tokens: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each of the runs of tokens that lie one after the other."""
+    place = np.arange(len(tokens)) - np.repeat(first, count)
+    terms = mix((place << 32 | tokens).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return mix(sums(terms, count) + count.astype(np.uint64))
+
+
+def _distinct(tokens, firsts, counts) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each of several equal windows, in their order, and which of these each is."""
+    keys = [_hashes(*side) for side in zip(tokens, firsts, counts, strict=True)]
+    key = keys[0] * np.uint64(0xC2B2AE3D27D4EB4F) + keys[1]
+    _, at, which = np.unique(key, return_index=True, return_inverse=True)
+    order = np.argsort(at)
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    at, which = at[order], rank[which]
+    for side, first, count in zip(tokens, firsts, counts, strict=True):
+        same = at[which]
+        if (count != count[same]).any() or (side != side[ranges(first[same], count)]).any():
+            return np.arange(len(key)), np.arange(len(key))  # two windows with one hash
+    return at, which
+
+
 class _Block:
     """Windows and documents of a block, added slice by slice."""
 
     def __init__(self, pair: _Pair):
         self.pair = pair
         self.numbers = _Windows()
-        self.fragments: list[str] = []
+        self.fragments: list[bytes] = []
         self.groups, self.window, self.pairs, self.times = [], [], [], []
         self.rows: list[tuple] = []
         self.of_rows: list[np.ndarray] = []
 
     def add(self, texts: list[str | None], ids: list[int | None]) -> None:
         pair = self.pair
-        found = [pair.tokens(text) for text in texts]
+        found = pair.tokens(texts)
         whole = [tokens for tokens in found if tokens]
         a, b = (
-            np.array([i for tokens in whole for i in tokens[side]], np.int32) for side in (0, 1)
+            np.concatenate([*(tokens[side] for tokens in whole), np.zeros(0, np.int32)]) for side in (0, 1)
         )
         # Every document begins with a space, so its end is an anchor like any other.
         data = np.frombuffer(b"".join([tokens[2] for tokens in whole]) + b" ", np.uint8)
@@ -143,17 +189,24 @@ class _Block:
             for shared, ends in ((shared_a, ends_a), (shared_b, ends_b))
         ]
         firsts = [np.concatenate([[0], last[:-1]]) if len(last) else last for last in lasts]
-        keys = []
-        for tokens, first, last in zip((a, b), firsts, lasts, strict=True):
-            data_of = tokens.tobytes()
-            keys.append(
-                [data_of[low:high] for low, high in zip((4 * first).tolist(), (4 * last).tolist(), strict=True)]
-            )
+        counts = [last - first for first, last in zip(firsts, lasts, strict=True)]
+        at, which = _distinct((a, b), firsts, counts)
+        sizes = [4 * count[at] for count in counts]
+        ends = np.cumsum(sizes[0] + sizes[1] + 4)
+        both = np.full(int(ends[-1]) // 4 if len(ends) else 0, -1, np.int32)
+        for side, first, size, begin in zip(
+            (a, b), firsts, sizes, (ends - sizes[0] - sizes[1] - 4, ends - sizes[1]), strict=True
+        ):
+            both[ranges(begin // 4, size // 4)] = side[ranges(first[at], size // 4)]
+        data_of, ends = both.tobytes(), ends.tolist()
         known = len(self.numbers)
         number = self.numbers
-        window = np.fromiter((number[key] for key in zip(*keys, strict=True)), np.int64, len(lasts[0]))
-        new, at = np.unique(window, return_index=True)
-        at = at[new >= known]
+        own = np.array(
+            [number[data_of[low:high]] for low, high in zip([0, *ends], ends, strict=False)], np.int64
+        )
+        window = own[which]
+        new, place = np.unique(own, return_index=True)
+        at = at[place[new >= known]]
         self._align(at, firsts, lasts, (a, b), (shared_a, shared_b))
         documents = np.searchsorted(
             ends_a[lasts[0] - 1], np.cumsum([len(tokens[2]) for tokens in whole]), "left"
@@ -166,9 +219,9 @@ class _Block:
                 continue
             high = int(documents[part])
             own = window[low:high]
-            text = ";".join([self.fragments[i] for i in own.tolist()])
+            text = b";".join([self.fragments[i] for i in own.tolist()])
             self.rows.append(
-                (doc_id, len(tokens[0]), len(tokens[1]), hashlib.sha256(text.encode()).hexdigest())
+                (doc_id, len(tokens[0]), len(tokens[1]), hashlib.sha256(text).hexdigest())
             )
             self.of_rows.append(own)
             low, part = high, part + 1
@@ -197,17 +250,21 @@ class _Block:
         self.pairs.append(key[new])
         self.window.append(window[new])
         self.times.append(np.diff(new, append=len(key)))
-        names = [
-            [name[i] for i in side.tolist()]
-            for name, side in zip((pair.name_a, pair.name_b), ids, strict=True)
+        # Written in the order of groups, each its A tokens and then its B tokens.
+        written = [
+            np.arange(len(ids[0])) + np.repeat(cuts[1] - sizes[1], sizes[0]),
+            np.arange(len(ids[1])) + np.repeat(cuts[0], sizes[1]),
         ]
-        names_a, names_b = names
-        fragments: list[list[str]] = [[] for _ in range(len(at))]
-        low_a = low_b = 0
-        for one, high_a, high_b in zip(of_window.tolist(), *(cut.tolist() for cut in cuts), strict=True):
-            fragments[one].append(",".join(names_a[low_a:high_a]) + "|" + ",".join(names_b[low_b:high_b]))
-            low_a, low_b = high_a, high_b
-        self.fragments.extend(map(";".join, fragments))
+        name = np.empty(len(ids[0]) + len(ids[1]), np.int64)
+        follows = np.full(len(name), ord(","), np.uint8)
+        for place, side, cut, mark in zip(written, ids, cuts, b"|;", strict=True):
+            name[place] = side
+            follows[place[cut - 1]] = mark
+        text, digits = pair.names[name], pair.digits[name]
+        text[np.arange(len(name)), digits] = follows
+        data = text[np.arange(text.shape[1]) <= digits[:, None]].tobytes()
+        ends = np.cumsum(digits + 1)[np.cumsum(counts[0] + counts[1]) - 1].tolist()
+        self.fragments.extend([data[low : high - 1] for low, high in zip([0, *ends], ends, strict=False)])
 
     def stored(self, block: int) -> pa.RecordBatch:
         """The pairs of the block with their documents, and the block itself as one more row."""

@@ -4,6 +4,7 @@ import hashlib
 import os
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from tokenizers import Tokenizer
@@ -105,3 +106,30 @@ def test_both_engines_of_the_byte_level_tokenizer_agree():
         points = [chr(c) for c in range(low, low + 512) if not 0xD800 <= c < 0xE000]
         text = "".join(f"a{c}b {c}1{c}'s{c}{c} x\n{c} {c}  {c}" for c in points)
         assert A.encode(text, add_special_tokens=False).ids == pair._a.encode_ordinary(text)
+
+
+def test_windows_count_as_equal_only_token_by_token(monkeypatch):
+    words = ["a", "b", "café", "12345", "x" * 40, "▁", "你好", "it's"]
+    texts = [" ".join(words[(i * k + i) % len(words)] for k in range(i)) for i in range(1, 30)]
+    texts += TEXTS
+
+    def block():
+        found = alignment._Block(alignment._pair(*alignment.read_tokenizers()))
+        found.add(texts, list(range(len(texts))))
+        return found
+
+    def windows(block):
+        return [[block.fragments[i] for i in own.tolist()] for own in block.of_rows]
+
+    apart, asked = block(), []
+    hashes = alignment._hashes
+
+    def few(tokens, first, count):
+        asked.append(len(first))
+        return hashes(tokens, first, count) % np.uint64(3)
+
+    monkeypatch.setattr(alignment, "_hashes", few)
+    together = block()
+    assert asked and apart.rows == together.rows
+    assert windows(apart) == windows(together)
+    assert apart.stored(0).equals(together.stored(0))
