@@ -81,6 +81,20 @@ def test_no_link_is_lost_where_short_hashes_fall_together(spark):
     assert [tuple(r) for r in near_dedup._links_across(torn, sets, known).collect()] == [(2, 1)]
 
 
+def test_near_duplicates_take_small_batches_and_leave_the_session_as_it_was(spark, monkeypatch):
+    name, asked, stored = "spark.sql.execution.arrow.maxRecordsPerBatch", set(), near_dedup.stored
+    before = spark.conf.get(name)
+
+    def noted(frame, path):
+        asked.add(int(spark.conf.get(name)))
+        return stored(frame, path)
+
+    monkeypatch.setattr(near_dedup, "stored", noted)
+    docs = spark.createDataFrame([(i, f"a b c d e f g {i % 3}") for i in range(6)], "doc_id long, text string")
+    assert near_dedup.near_duplicates(docs).where("kept").count() == 3
+    assert asked == {1000} and spark.conf.get(name) == before
+
+
 CITIES = ["Paris", "Rome", "Oslo", "Bern", "Riga", "Lima", "Cairo"]
 
 
