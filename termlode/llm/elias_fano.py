@@ -1,4 +1,4 @@
-"""Monotone numbers in Elias-Fano form, and a two-level n-gram trie of such sequences.
+"""Monotone numbers in Elias-Fano form, and n-gram tries of such sequences, two levels each.
 
 Everything is a view of one byte string, so a level that lies in a buffer is used where it
 lies. All lookups are numpy operations over many queries at once.
@@ -11,10 +11,24 @@ import numpy as np
 # Queries answered at a time.
 _CHUNK = 1 << 15
 
-# For each byte its number of ones, and the place of its first, second, ... one.
+# For each byte the place of its first, second, ... one.
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
-_ONES = _BITS.sum(axis=1, dtype=np.uint8)
-_PLACES = np.argsort(1 - _BITS, axis=1, kind="stable")
+_PLACES = np.argsort(1 - _BITS, axis=1, kind="stable").ravel()
+
+# All bytes of a word alike.
+_FIRST, _LAST = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_PAIRS, _FOURS, _EIGHTS = (np.uint64(b * 0x0101010101010101) for b in (0x55, 0x33, 0x0F))
+
+
+def _u64(n: int) -> np.uint64:
+    return np.uint64(n)
+
+
+def _ones_upto(words: np.ndarray) -> np.ndarray:
+    """In each byte the ones of a word up to and with that byte, the lowest first."""
+    words = words - ((words >> _u64(1)) & _PAIRS)
+    words = (words & _FOURS) + ((words >> _u64(2)) & _FOURS)
+    return ((words + (words >> _u64(4))) & _EIGHTS) * _FIRST
 
 
 def join_arrays(*arrays: np.ndarray) -> bytes:
@@ -53,8 +67,11 @@ class EliasFano:
         n = len(values)
         largest = int(values[-1]) if n else 0
         width = max(0, (largest // max(n, 1)).bit_length() - 1)
-        bits = (values[:, None] >> np.arange(width)) & 1 if width else np.zeros((n, 0), np.int64)
-        low = np.append(np.packbits(bits.astype(np.uint8), bitorder="little"), np.zeros(8, np.uint8))
+        octets = np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(n, 8)
+        bits = np.unpackbits(octets, axis=1, count=width or None, bitorder="little")[:, :width]
+        # Whole words, and one behind the last that is read.
+        low = np.zeros((n * width + 63) // 64 * 8 + 8, np.uint8)
+        low[: (n * width + 7) // 8] = np.packbits(bits, bitorder="little")
         places = (values >> width) + np.arange(n)
         length = -(-((largest >> width) + n + 1) // 64) * 64
         ones = np.zeros(length, np.uint8)
@@ -69,23 +86,25 @@ class EliasFano:
         before = np.arange(len(self._before)) * 64 - self._before if zeros else self._before
         word = np.searchsorted(before, rank, "right") - 1
         word = np.minimum(word, len(before) - 2)
-        chunk = self._high.reshape(-1, 8)[word]
+        chunk = self._high.view("<u8")[word]
         if zeros:
             chunk = ~chunk
-        left = rank - before[word]
-        upto = np.cumsum(_ONES[chunk], axis=1, dtype=np.uint8)
-        byte = (upto <= left[:, None]).sum(axis=1)
-        row = np.arange(len(rank))
-        left = left - np.where(byte > 0, upto[row, byte - 1], 0)
-        return word * 64 + byte * 8 + _PLACES[chunk[row, byte], left]
+        left = (rank - before[word]).astype(np.uint64)
+        upto = _ones_upto(chunk)
+        # As many bytes as end with no more ones than are left to pass.
+        passed = ((((left * _FIRST) | _LAST) - upto) & _LAST) >> _u64(7)
+        byte = (passed * _FIRST >> _u64(56)) << _u64(3)
+        left -= ((upto << _u64(8)) >> byte) & _u64(255)
+        place = _PLACES[((((chunk >> byte) & _u64(255)) << _u64(3)) | left).astype(np.int64)]
+        return word * 64 + byte.astype(np.int64) + place
 
     def _low_bits(self, i: np.ndarray) -> np.ndarray:
         if not self.width:
             return np.zeros(len(i), np.int64)
         bit = i * self.width
-        parts = self._low[(bit >> 3)[:, None] + np.arange(8)]
-        word = np.ascontiguousarray(parts).view("<u8").ravel() >> (bit & 7).astype(np.uint64)
-        return (word & np.uint64((1 << self.width) - 1)).astype(np.int64)
+        words, at, shift = self._low.view("<u8"), bit >> 6, (bit & 63).astype(np.uint64)
+        found = (words[at] >> shift) | ((words[at + 1] << _u64(1)) << (_u64(63) - shift))
+        return (found & _u64((1 << self.width) - 1)).astype(np.int64)
 
     def _get(self, i: np.ndarray) -> np.ndarray:
         return ((self._select(i, False) - i) << self.width) | self._low_bits(i)
@@ -149,22 +168,36 @@ class Trie:
             codes,
         )
 
+    @property
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        return (*self._contexts.arrays, *self._pointers.arrays, *self._words.arrays, self._codes)
+
+    @property
+    def own_codes(self) -> np.ndarray:
+        """The codes of all pairs, by place."""
+        return self._codes
+
     def to_bytes(self) -> bytes:
-        return join_arrays(
-            *self._contexts.arrays, *self._pointers.arrays, *self._words.arrays, self._codes
-        )
+        return join_tries(self)
 
     @classmethod
     def view(cls, data) -> Trie:
-        arrays = split_arrays(data)
+        return split_tries(data)[0]
+
+    @classmethod
+    def of_arrays(cls, arrays: list[np.ndarray]) -> Trie:
         return cls(*(EliasFano(*arrays[i : i + 4]) for i in (0, 4, 8)), arrays[12])
 
     def codes(self, context: np.ndarray, word: np.ndarray, absent: int) -> np.ndarray:
-        """The code of each pair, ``absent`` where the trie does not have it.
+        """The code of each pair, ``absent`` where the trie does not have it."""
+        return np.append(self._codes.astype(np.int64), absent)[self.places(context, word)]
+
+    def places(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The place of each pair among all, -1 where the trie does not have it.
 
         Pairs of one context are best put side by side: it is looked up once a run.
         """
-        found = np.full(len(context), absent, np.int64)
+        found = np.full(len(context), -1, np.int64)
         if not self._contexts.n or not len(context):
             return found
         new = np.flatnonzero(np.diff(context, prepend=-1))
@@ -180,5 +213,20 @@ class Trie:
         at = self._words.successor(wanted)
         inside = np.flatnonzero(at < np.repeat(end, often))
         same = inside[self._words.get(at[inside]) == wanted[inside]]
-        found[query[same]] = self._codes[at[same]]
+        found[query[same]] = at[same]
         return found
+
+
+_ARRAYS = 13
+
+
+def join_tries(*tries: Trie) -> bytes:
+    """Tries as one byte string, for a model of more levels: the contexts of each but the first
+    are the places of the pairs of the one before."""
+    return join_arrays(*(array for trie in tries for array in trie.arrays))
+
+
+def split_tries(data) -> list[Trie]:
+    """Views of the tries in a buffer of :func:`join_tries`."""
+    arrays = split_arrays(data)
+    return [Trie.of_arrays(arrays[i : i + _ARRAYS]) for i in range(0, len(arrays), _ARRAYS)]
