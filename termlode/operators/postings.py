@@ -26,16 +26,39 @@ def inverted_index(weighted: DataFrame, part_rows: int = PART_ROWS) -> DataFrame
         F.lit(1).cast("long")
     )
     size = F.lit(part_rows).cast("long")
-    bucketed = weighted.select(
-        "collection", "word", "file", "count", buckets.alias("buckets")
-    ).withColumn("bucket", F.pmod(file_digest(F.col("file")), F.col("buckets")))
+    # Entries of a bucket are gathered before they are shuffled, so its word goes with them once.
+    bucketed = (
+        weighted.select("collection", "word", "file", "count", buckets.alias("buckets"))
+        .withColumn("bucket", F.pmod(file_digest(F.col("file")), F.col("buckets")))
+        .groupBy("collection", "word", "bucket")
+        .agg(
+            F.max("buckets").alias("buckets"),
+            F.sum("count").alias("total"),
+            F.collect_list("file").alias("file"),
+            F.collect_list(F.col("count").cast("int")).alias("count"),
+        )
+        .withColumn("entries", F.sort_array(F.arrays_zip("file", "count")))
+    )
+    # Only a bucket that is too long for one piece is taken apart again.
+    whole = F.col("total") <= size
+    singles = F.transform("entries", lambda e: F.array(e))
     running = (
         Window.partitionBy("collection", "word", "bucket")
         .orderBy("file")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     pieces = (
-        bucketed.withColumn("end", F.sum("count").over(running))
+        bucketed.withColumn("run", F.explode(F.when(whole, F.array("entries")).otherwise(singles)))
+        .select(
+            "collection",
+            "word",
+            "bucket",
+            "buckets",
+            "run",
+            F.col("run")[0]["file"].alias("file"),
+            F.when(whole, F.col("total")).otherwise(F.col("run")[0]["count"].cast("long")).alias("count"),
+        )
+        .withColumn("end", F.sum("count").over(running))
         .withColumn("begin", F.col("end") - F.col("count"))
         .withColumn(
             "piece",
@@ -49,13 +72,17 @@ def inverted_index(weighted: DataFrame, part_rows: int = PART_ROWS) -> DataFrame
             - F.greatest(F.col("begin"), F.col("piece") * size),
         )
     )
-    entries = F.sort_array(F.collect_list(F.struct("file", "count")))
-    repeated = F.flatten(
-        F.transform(entries, lambda e: F.array_repeat(e["file"], e["count"].cast("int")))
-    )
+    repeated = F.when(
+        F.size("run") > 1,
+        F.flatten(F.transform("run", lambda e: F.array_repeat(e["file"], e["count"]))),
+    ).otherwise(F.array_repeat("file", F.col("count").cast("int")))
+    runs = F.sort_array(F.collect_list(F.struct("file", repeated.alias("files"))))
     return (
         pieces.groupBy("collection", "word", "bucket", "piece")
-        .agg(F.max("buckets").alias("buckets"), repeated.alias("files"))
+        .agg(
+            F.max("buckets").alias("buckets"),
+            F.flatten(F.transform(runs, lambda run: run["files"])).alias("files"),
+        )
         .select(
             "collection",
             "word",
