@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import fnmatch
+import os
 import re
 import uuid
 import zlib
@@ -21,6 +23,12 @@ FOLDERS = 64
 # Text of small files that are read by one task.
 READ_BYTES = 32 << 20
 
+# Bytes of files that a task hands on at a time.
+BATCH_BYTES = 8 << 20
+
+# Folders that are listed by as many tasks, for each core.
+LISTED_FOLDERS = 8
+
 # What Spark replaces in the names of partition folders.
 _ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 _NO_NAME = "__HIVE_DEFAULT_PARTITION__"
@@ -50,9 +58,13 @@ def read_corpus(
     relative, absolute or a URL; it is qualified by its file system and cut off at
     the start of each path only. A file found elsewhere is an error. ``source`` may be
     ``"binaryFile"``, which gives the same rows and, unlike ``"text"``, makes no copy of the
-    configuration for each file.
+    configuration for each file. Below a local or mounted folder it also has the files listed
+    by tasks, so the driver holds folders only; Spark's own listing holds every file there.
     """
     top = _qualified(spark, root).rstrip("/") + "/"
+    local = _local(top) + (collection or "") if top.startswith("file:") else ""
+    if source == "binaryFile" and os.path.isdir(local):
+        return _read_local(spark, top, local, suffix, prefix)
     files = spark.read.format(source).load(
         top + (collection or ""),
         wholetext=True,
@@ -79,6 +91,105 @@ def read_corpus(
     ).where(F.instr(below, "/") > 0)
 
 
+def _local(top: str) -> str:
+    """The path of a ``file:`` URL of Hadoop, which encodes nothing."""
+    return "/" + top.removeprefix("file:").lstrip("/")
+
+
+def _hidden(name: str) -> bool:
+    """Whether Spark passes over a file or folder of that name."""
+    if name in ("_metadata", "_common_metadata"):
+        return False
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _entries(folder: str, suffix: str) -> tuple[list[str], Iterator[str]]:
+    """Folders in a folder, and the files in it whose names have the suffix."""
+    folders = [e.path for e in os.scandir(folder) if not _hidden(e.name) and e.is_dir()]
+    files = (
+        e.path
+        for e in os.scandir(folder)
+        if not _hidden(e.name) and fnmatch.fnmatchcase(e.name, "*" + suffix) and not e.is_dir()
+    )
+    return folders, files
+
+
+def _folders(root: str, wanted: int) -> list[tuple[str, bool]]:
+    """``(folder, deep)``: folders to list, those with ``deep`` with all below them.
+
+    Levels are opened until there are as many as wanted; only folders are held.
+    """
+    flat, deep = [], [root]
+    while deep and len(deep) < wanted:
+        below = [path for folder in deep for path in _entries(folder, "")[0]]
+        flat, deep = flat + deep, below
+    return [(folder, False) for folder in flat] + [(folder, True) for folder in deep]
+
+
+def _list_files(suffix: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            folders, deep = batch.column("folder").to_pylist(), batch.column("deep").to_pylist()
+            todo = list(zip(folders, deep, strict=True))
+            paths: list[str] = []
+            while todo:
+                folder, below = todo.pop()
+                inner, files = _entries(folder, suffix)
+                todo += [(path, True) for path in inner] if below else []
+                for path in files:
+                    paths.append(path)
+                    if len(paths) == 10_000:
+                        yield pa.RecordBatch.from_pydict({"path": paths})
+                        paths = []
+            yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string())})
+
+    return run
+
+
+def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch_of(paths, contents):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["path", "content"]
+        )
+
+    paths: list[str] = []
+    contents: list[bytes] = []
+    size = 0
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            with open(path, "rb") as file:
+                contents.append(file.read())
+            paths.append(path)
+            size += len(contents[-1])
+            if size >= BATCH_BYTES or len(paths) == 1000:
+                yield batch_of(paths, contents)
+                paths, contents, size = [], [], 0
+    yield batch_of(paths, contents)
+
+
+def _read_local(
+    spark: SparkSession, top: str, folder: str, suffix: str, prefix: str | None
+) -> DataFrame:
+    """The rows of :func:`read_corpus`, listed and read by tasks."""
+    cores = spark.sparkContext.defaultParallelism
+    found = _folders(folder.rstrip("/"), LISTED_FOLDERS * cores)
+    folders = spark.createDataFrame(found, "folder string, deep boolean")
+    tasks = max(4 * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    files = (
+        folders.repartition(min(len(found), tasks), "folder")
+        .mapInArrow(_list_files(suffix), "path string")
+        .repartition(tasks, "path")
+        .mapInArrow(_read_files, "path string, content binary")
+    )
+    below = F.substr("path", F.lit(len(_local(top)) + 1))
+    path = F.concat(F.lit("file:"), F.col("path"))
+    return files.select(
+        F.split(below, "/", 2)[0].alias("collection"),
+        (strip_prefix(path, prefix) if prefix else below).alias("file"),
+        F.col("content").cast("string").alias("text"),
+    ).where(F.instr(below, "/") > 0)
+
+
 def _name(value) -> str:
     """A value as part of the name of a folder or file, as Spark writes it."""
     escaped = _ESCAPED.sub(lambda c: f"%{ord(c[0]):02X}", "" if value is None else str(value))

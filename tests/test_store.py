@@ -303,3 +303,18 @@ def test_small_files_are_read_by_few_tasks(spark, tmp_path):
         found = tl.read_corpus(spark, str(tmp_path), source=source)
         assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
         assert found.where("text = 'some words'").count() == 2000
+
+
+def test_local_files_are_listed_by_tasks(spark, tmp_path):
+    """The driver holds no file; the rows are those of the reader by text."""
+    names = ("a/1.txt", "a/b/c/2 +%20.txt", "a/_no.txt", "a/.no.txt", "a/_x=1/3.txt", "a/n.md", "top.txt", "d/é.txt")
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    for given in ({}, {"collection": "a"}, {"suffix": ".md"}, {"prefix": f"file:{tmp_path}/"}):
+        found = tl.read_corpus(spark, str(tmp_path), source="binaryFile", **given)
+        assert "FileScan" not in plan(found) and not found.inputFiles()
+        assert rows(found) == rows(tl.read_corpus(spark, str(tmp_path), **given))
+    assert len(rows(tl.read_corpus(spark, str(tmp_path), source="binaryFile"))) == 4
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        tl.read_corpus(spark, str(tmp_path / "none"), source="binaryFile")
